@@ -257,23 +257,30 @@ def slope_from_counts(cells: DataFrame, month_index: str, by: Sequence[str] = ()
     )
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
 
+    def bind(value: Column, use) -> Column:
+        """use(value) with the value computed once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
     def newton(state, _):
         def add(acc, m):
-            p = 1 / (1 + F.exp(-(state["a"] + state["b"] * m["t"])))
-            w = m["n"] * p * (1 - p)
-            r = m["k"] - m["n"] * p
+            def grow(p):
+                w, r = m["n"] * p * (1 - p), m["k"] - m["n"] * p
+                return F.struct(
+                    (acc["g0"] + r).alias("g0"), (acc["g1"] + r * m["t"]).alias("g1"), (acc["h00"] + w).alias("h00"),
+                    (acc["h01"] + w * m["t"]).alias("h01"), (acc["h11"] + w * m["t"] * m["t"]).alias("h11"),
+                )
+
+            return bind(1 / (1 + F.exp(-(state["a"] + state["b"] * m["t"]))), grow)
+
+        def step(s):
+            det = s["h00"] * s["h11"] - s["h01"] * s["h01"]
             return F.struct(
-                (acc["g0"] + r).alias("g0"), (acc["g1"] + r * m["t"]).alias("g1"), (acc["h00"] + w).alias("h00"),
-                (acc["h01"] + w * m["t"]).alias("h01"), (acc["h11"] + w * m["t"] * m["t"]).alias("h11"),
+                (state["a"] + F.coalesce(F.try_divide(s["h11"] * s["g0"] - s["h01"] * s["g1"], det), F.lit(0.0))).alias("a"),
+                (state["b"] + F.coalesce(F.try_divide(s["h00"] * s["g1"] - s["h01"] * s["g0"], det), F.lit(0.0))).alias("b"),
             )
 
         start = F.struct(*[F.lit(0.0).alias(x) for x in ("g0", "g1", "h00", "h01", "h11")])
-        s = F.aggregate("_m", start, add)
-        det = s["h00"] * s["h11"] - s["h01"] * s["h01"]
-        return F.struct(
-            (state["a"] + F.coalesce(F.try_divide(s["h11"] * s["g0"] - s["h01"] * s["g1"], det), F.lit(0.0))).alias("a"),
-            (state["b"] + F.coalesce(F.try_divide(s["h00"] * s["g1"] - s["h01"] * s["g0"], det), F.lit(0.0))).alias("b"),
-        )
+        return bind(F.aggregate("_m", start, add), step)
 
     fitted = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), zero, newton)
     return g.select(*by, "n", fitted.alias("_f")).select(*by, "n", F.col("_f.b").alias("slope"))

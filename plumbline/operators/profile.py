@@ -240,7 +240,7 @@ def level_lifts(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 def rate_pivot(df: DataFrame, row: str, col: str, y: str, levels: Sequence[str]) -> DataFrame:
     """Rate and count of each row level by column level; the column levels are declared, never discovered."""
     out = df.where(F.col(row).isNotNull()).groupBy(row).pivot(col, list(levels)).agg(
-        F.avg(F.col(y).cast("double")).alias("rate"), F.count("*").alias("n")
+        F.avg(F.col(y).cast("double")).alias("rate"), F.count(F.lit(1)).alias("n")
     )
     return out.fillna(0, subset=[f"{v}_n" for v in levels])
 

@@ -242,17 +242,27 @@ class Buckets:
 def quantile_buckets(
     df: DataFrame, value: str | Column, rows_per_bucket: int = ROWS_PER_BUCKET, at_least: int = 16, max_edges: int = MAX_EDGES
 ) -> Buckets:
-    """Buckets for a value column from one sketch over it, as many as its row count asks for."""
-    v = as_column(value)
-    probs = [i / max_edges for i in range(1, max_edges)]
-    row = df.agg(
-        F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"),
-        F.percentile_approx(v, probs, 4 * max_edges).alias("q"),
-    ).first()
+    """Buckets for a value column, as many as its row count asks for.
+
+    One sketch of the column gives the count and a first set of edges; a table that needs more than
+    TREE_EDGES buckets is sketched once more in finer steps.
+    """
+    row = _sketch(df, value, TREE_EDGES)
     if not row["n"]:
         return Buckets(())
     needed = max(at_least, -(-row["n"] // rows_per_bucket))
-    count = 1 << max(0, (min(needed, max_edges) - 1).bit_length())
-    step = max(1, max_edges // count)
-    edges = sorted({row["q"][i - 1] for i in range(step, max_edges, step)})
-    return Buckets(tuple(edges), row["lo"], row["hi"], max(1, -(-needed // max_edges)))
+    parts = TREE_EDGES
+    if needed > TREE_EDGES:
+        row, parts = _sketch(df, value, max_edges), max_edges
+    count = 1 << max(0, (min(needed, parts) - 1).bit_length())
+    step = max(1, parts // count)
+    edges = sorted({row["q"][i - 1] for i in range(step, parts, step)})
+    return Buckets(tuple(edges), row["lo"], row["hi"], max(1, -(-needed // parts)))
+
+
+def _sketch(df: DataFrame, value: str | Column, parts: int):
+    v = df.select(as_column(value).alias("v"))
+    probs = ", ".join(f"{i / parts!r}D" for i in range(1, parts))
+    return v.selectExpr(
+        "count(v) AS n", "min(v) AS lo", "max(v) AS hi", f"percentile_approx(v, array({probs}), {4 * parts}) AS q"
+    ).first()

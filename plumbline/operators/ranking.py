@@ -39,18 +39,18 @@ def score_counts(df: DataFrame, score: str | Column, y: str | Column | None, by:
     """One row per (group, distinct score): n rows and pos positives. NULL and NaN scores are left out."""
     s = as_column(score).cast("double")
     label = F.lit(0) if y is None else as_column(y).cast("int")
-    # -0.0 and 0.0 are one score
-    rows = df.select(*by, (s + F.lit(0.0)).alias("score"), label.alias("_y")).where(
-        F.col("score").isNotNull() & ~F.isnan("score")
-    )
-    return rows.groupBy(*by, "score").agg(
-        F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).cast("long").alias("pos")
+    # -0.0 and 0.0 are one score. NULL and NaN drop out after the aggregation, where the condition is on
+    # a count: a filter on the score itself would be pushed down and evaluate its expression twice.
+    rows = df.select(*by, (s + F.lit(0.0)).alias("score"), label.alias("_y"))
+    counts = rows.groupBy(*by, "score").agg(
+        F.count_if(F.col("score") <= float("inf")).alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).cast("long").alias("pos")
     )
+    return counts.where("n > 0")
 
 
 def buckets_for(df: DataFrame, score: str | Column) -> Buckets:
-    s = as_column(score).cast("double")
-    return quantile_buckets(df.where(s.isNotNull() & ~F.isnan(s)), s)
+    known = df.select(as_column(score).cast("double").alias("s")).select(F.nullif("s", F.lit(float("nan"))).alias("s"))
+    return quantile_buckets(known, "s")
 
 
 def _bucketed(df: DataFrame, counts: DataFrame, score, buckets: Buckets | None) -> DataFrame:
@@ -215,18 +215,28 @@ def rank_bands(
     by = list(by)
     ranked = average_rank(cumulative_counts(df, score, y, by, buckets))
     count = F.least(F.lit(bands).cast("long"), F.col("tot_n"))
-    picks = []
-    for j in range(bands + 1):
-        pos = (F.col("tot_n") - 1) * F.least(F.lit(float(j)), count.cast("double")) / count
-        for tag, at in (("a", F.floor(pos)), ("b", F.ceil(pos))):
-            hit = (F.col("cum_n") > at) & (F.col("cum_n") - F.col("n") <= at)
-            picks.append(F.max(F.when(hit, F.col("rank"))).alias(f"_{tag}{j}"))
-    got = ranked.groupBy(*by).agg(F.max("tot_n").alias("tot_n"), *picks)
-    cuts = []
-    for j in range(bands + 1):
-        pos = (F.col("tot_n") - 1) * F.least(F.lit(float(j)), count.cast("double")) / count
-        cuts.append(F.col(f"_a{j}") + (F.col(f"_b{j}") - F.col(f"_a{j}")) * (pos - F.floor(pos)))
-    state = got.select(*by, F.array_sort(F.array_distinct(F.array(*cuts))).alias("_cuts"))
+    # Cut j is the rank at position (rows - 1) * j / bands; a distinct score answers for the positions
+    # its own rows take, so each group yields 2 * bands + 2 small rows.
+    wanted = F.transform(
+        F.sequence(F.lit(0).cast("long"), count), lambda j: F.struct(j.alias("j"), ((F.col("tot_n") - 1) * j / count).alias("pos"))
+    )
+
+    def mine(at: Column) -> Column:
+        return (at >= F.col("cum_n") - F.col("n")) & (at < F.col("cum_n"))
+
+    hits = ranked.select(
+        *by, "n", "cum_n", "rank", F.explode(F.filter(wanted, lambda w: mine(F.floor(w["pos"])) | mine(F.ceil(w["pos"])))).alias("_w")
+    )
+    at = F.col("_w.pos")
+    ends = hits.groupBy(*by, at.alias("pos")).agg(
+        F.max(F.when(mine(F.floor(at)), F.col("rank"))).alias("_a"), F.max(F.when(mine(F.ceil(at)), F.col("rank"))).alias("_z")
+    )
+    cut = F.col("_a") + (F.col("_z") - F.col("_a")) * (F.col("pos") - F.floor("pos"))
+    state = ends.groupBy(*by).agg(F.array_sort(F.collect_set(cut)).alias("_cuts"))
+    if not by:
+        # One row of at most bands + 1 numbers: a scalar subquery instead of a join without a key.
+        inner = F.slice(state.scalar(), 2, bands + 1)
+        return ranked.withColumn("_c", inner).withColumn("band", F.size(F.filter("_c", lambda e: e < F.col("rank")))).drop("_c")
     joined = null_safe_join(ranked, state, by)
     # count of distinct upper cuts strictly below the rank; the first cut is the lowest rank itself
     inner = F.slice(F.col("_cuts"), 2, bands + 1)

@@ -27,6 +27,7 @@ from plumbline.operators.ranking import null_safe_join
 METRICS = ("roc_auc", "gini", "pr_auc", "f1", "precision", "recall")
 CHUNK = 32  # replicates held in memory at once inside a task
 HOT_ROWS = 200_000
+MAX_CELLS = 4096  # group totals a task holds before it passes them on
 
 # Cumulative Poisson(1) probabilities; the last one leaves less than 1e-16.
 _POISSON = np.cumsum([np.exp(-1.0) / float(np.prod(np.arange(1, k + 1, dtype=float))) for k in range(18)])
@@ -79,7 +80,7 @@ def bootstrap_replicates(
     rows = df.select(
         *by, (as_column(score).cast("double") + F.lit(0.0)).alias("score"), as_column(y).cast("int").alias("y"),
         F.xxhash64(*[F.col(c) for c in key]).alias("key"),
-    ).where("score is not null and not isnan(score)")
+    ).where(F.col("score") <= float("inf"))
     buckets = buckets or ranking.buckets_for(rows, "score")
     rows = rows.withColumn("b", buckets.index("score"))
     reps = np.arange(replicates + 1)
@@ -222,19 +223,28 @@ def rate_bootstrap(
     reps = np.arange(replicates + 1)
 
     def partial(batches):
+        sums: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+
+        def flush():
+            for k, (n, cases) in sums.items():
+                out = pd.DataFrame({"rep": reps, "n": n, "cases": cases})
+                for c, v in zip(cells, k):
+                    out[c] = v
+                yield out[[*cells, "rep", "n", "cases"]]
+            sums.clear()
+
         for pdf in batches:
             for k, g in pdf.groupby(cells, dropna=False, sort=False):
                 k = k if isinstance(k, tuple) else (k,)
-                keys, label = g["key"].to_numpy(), g["y"].to_numpy().astype(np.int64)[:, None]
-                frames = []
+                n, cases = sums.setdefault(k, (np.zeros(len(reps), dtype=np.int64), np.zeros(len(reps), dtype=np.int64)))
+                keys, label = g["key"].to_numpy(), g["y"].to_numpy().astype(bool)
                 for at in range(0, len(reps), CHUNK):
-                    part = reps[at : at + CHUNK]
-                    w = poisson_counts(keys, part, seed)
-                    frames.append(pd.DataFrame({"rep": part, "n": w.sum(0), "cases": (w * label).sum(0)}))
-                out = pd.concat(frames, ignore_index=True)
-                for c, v in zip(cells, k):
-                    out[c] = v
-                yield out[[*cells, "rep", "n", "cases"]]
+                    w = poisson_counts(keys, reps[at : at + CHUNK], seed)
+                    n[at : at + CHUNK] += w.sum(0)
+                    cases[at : at + CHUNK] += w[label].sum(0)
+            if len(sums) > MAX_CELLS:
+                yield from flush()
+        yield from flush()
 
     return (
         rows.mapInPandas(partial, f"{ddl}rep int, n long, cases long")

@@ -8,8 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import bucket_index
-
 
 @dataclass(frozen=True)
 class Banded:
@@ -32,11 +30,11 @@ class Banded:
         return (self.column,)
 
     def column_expr(self) -> Column:
-        i = bucket_index(self.column, self.edges, side="left" if self.closed == "right" else "right")
-        out = F.when(F.col(self.column).isNull(), self.missing)
-        for k, p in enumerate(self.points):
-            out = out.when(i == k, p)
-        return out
+        v = F.col(self.column)
+        out = F.when(v.isNull(), self.missing)
+        for edge, p in zip(self.edges, self.points):
+            out = out.when(v <= F.lit(edge) if self.closed == "right" else v < F.lit(edge), p)
+        return out.otherwise(self.points[-1])
 
 
 @dataclass(frozen=True)
