@@ -8,12 +8,15 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from plumbline.operators import evaluate
 from plumbline.operators.engineer import EngineerState, ScalerState, apply_engineer, apply_scaler, fit_engineer, fit_scaler
@@ -252,10 +255,6 @@ def _interpolate(s, xs: list[float], ys: list[float]):
 
 def score_with(df: DataFrame, fn: Callable, features: Sequence[str], name: str = "score") -> DataFrame:
     """Scores with a foreign model: fn(pandas frame of features) -> sequence, on Arrow batches."""
-    import pandas as pd
-    from pyspark.sql import types as T
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf(T.DoubleType())
     def run(x: pd.DataFrame) -> pd.Series:
         return pd.Series(fn(x), dtype="float64")
