@@ -78,17 +78,23 @@ def fit_engineer(train: DataFrame, spec: PortfolioSpec, quantile: float | None =
 
 
 def apply_engineer(df: DataFrame, state: EngineerState, keep: Sequence[str] = ()) -> DataFrame:
-    """Clip at the cap, infinities to NULL, impute the median, log1p, one-hot: always in this order.
+    """Clip at the cap, infinities to unknown, impute the median, log1p, one-hot: always in this order.
 
     One-hot columns come from the declared vocabulary, so a batch without a level still has its column
     and an unknown or missing level is all zeros.
     """
+    inf = float("inf")
     out = []
     for c in state.columns:
-        v = _as_double(df, c)
+        v = F.col(c).cast("int").cast("double") if isinstance(df.schema[c].dataType, T.BooleanType) else F.col(c).cast("double")
+        gap = F.lit(state.medians[c])
+        # One flat condition per column keeps the generated code small enough to be compiled: NULL, NaN
+        # and infinities the cap did not catch fall through to the median.
         if c in state.caps:
-            v = F.when(v.isNotNull(), F.least(v, F.lit(state.caps[c])))
-        v = F.coalesce(finite(v), F.lit(state.medians[c]))
+            cap = F.lit(state.caps[c])
+            v = F.when((v <= cap) & (v > -inf), v).when((v > cap) & ~F.isnan(v), cap).otherwise(gap)
+        else:
+            v = F.when(F.abs(v) < inf, v).otherwise(gap)
         if c in state.log_scale:
             v = F.log1p(F.greatest(v, F.lit(0.0)))
         out.append(v.alias(c))

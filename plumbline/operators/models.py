@@ -9,7 +9,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark import StorageLevel
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -82,6 +83,13 @@ class FittedModel:
         z = apply_engineer(held, self.engineer, ["_keep"])
         if self.scaler:
             z = apply_scaler(z, self.scaler)
+        if isinstance(self.model, LogisticRegressionModel):
+            # a weighted sum stays in generated code; no vector is built
+            margin = F.lit(float(self.model.intercept))
+            for c, w in zip(self.inputs, self.model.coefficients.toArray()):
+                if w:
+                    margin = margin + F.lit(float(w)) * F.col(f"`{c}`")
+            return z.select("_keep.*", (1 / (1 + F.exp(-margin))).alias(name))
         z = VectorAssembler(inputCols=self.inputs, outputCol="_x").transform(z)
         out = self.model.transform(z.select("_keep", "_x"))
         return out.select("_keep.*", vector_to_array("probability")[1].alias(name))
@@ -137,7 +145,12 @@ def fit_candidate(train: DataFrame, candidate: Candidate, spec: PortfolioSpec, y
     elif candidate.params.get("scale_pos_weight"):
         weight = F.when(F.col("_y") == 1, float(candidate.params["scale_pos_weight"])).otherwise(1.0)
     data = VectorAssembler(inputCols=engineer.output, outputCol="_x").transform(z).select("_x", F.col(y).cast("double").alias("_y"))
-    model = build_estimator(candidate.kind, candidate.params, n, seed).fit(data.withColumn("_w", weight))
+    # Every iteration reads the same vectors; they are computed once and released after the fit.
+    data = data.withColumn("_w", weight).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = build_estimator(candidate.kind, candidate.params, n, seed).fit(data)
+    finally:
+        data.unpersist()
     return FittedModel(candidate, engineer, scaler, model, engineer.output)
 
 
