@@ -160,9 +160,9 @@ def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     parts = []
     if len(full) > 1:
         rows = df.select(*[finite(c).alias(c) for c in full])
-        ranks = ranking.average_rank(ranking.cumulative_counts(long_values(rows, full), "value", None, ["column"]))
         for c in full:
-            mine = ranks.where(F.col("column") == c).select(F.col("score").alias(f"_s{c}"), F.col("rank").alias(f"_r{c}"))
+            r = ranking.average_rank(ranking.cumulative_counts(df, finite(c)))
+            mine = r.select(F.col("score").alias(f"_s{c}"), F.col("rank").alias(f"_r{c}"))
             rows = rows.join(mine, (rows[c] + F.lit(0.0)) == F.col(f"_s{c}"))
         combos = list(combinations(full, 2))
         wide = rows.agg(F.count("*").alias("n"), *[F.corr(f"_r{a}", f"_r{b}").alias(f"c{i}") for i, (a, b) in enumerate(combos)])

@@ -55,8 +55,9 @@ def scale_columns(df: DataFrame, cols: Sequence[str], factor) -> DataFrame:
 
 def group_rare(c: str | Column, keep: Sequence[str], other: str) -> Column:
     """Listed codes are kept, every other one becomes the residual label: never decided per batch."""
-    code = canon_code(c)
-    return F.when(code.isin(list(keep)), code).otherwise(F.lit(other))
+    known = F.create_map(*[F.lit(v) for k in keep for v in (k, k)])
+    # a lookup names the code once, so its text is worked out once per row
+    return F.coalesce(F.try_element_at(known, canon_code(c)), F.lit(other))
 
 
 def sentinel_report(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -16,6 +16,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "plu
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the JVM leaves methods above 8000 bytes of code uncompiled; Spark then splits them instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
