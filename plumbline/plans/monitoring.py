@@ -121,17 +121,22 @@ def categorical_drift(spark, d):
     return drift.categorical_drift_stats(ref, cur, ["o_orderpriority", "o_orderstatus"])
 
 
-@query("drift_report")
-def drift_report(spark, d):
-    ref, cur = _periods(spark, d)
-    return drift.drift_report(ref, cur)
-
-
 VERDICTS = """, r AS (SELECT "column", distance >= 0.05 AS drifted FROM nd UNION ALL SELECT "column", CASE dof WHEN 2 THEN exp(-chi2 / 2) WHEN 4 THEN exp(-chi2 / 2) * (1 + chi2 / 2) END < 0.05 FROM cd)"""
 PERIOD_VERDICTS = f"""WITH nd AS ({NUM_DRIFT.format(c="o_totalprice", src=PRICE_SRC)} UNION ALL {NUM_DRIFT.format(c="o_custkey", src=CUST_SRC)}),
   cd AS ({CAT_DRIFT.format(c="o_orderpriority", src=PRIO_SRC)} UNION ALL {CAT_DRIFT.format(c="o_orderstatus", src=STATUS_SRC)})""" + VERDICTS
 
 
+REPORT_SQL = PERIOD_VERDICTS + """, report AS (
+  SELECT "column", 'wasserstein' AS method, distance AS value, CAST(0.05 AS DOUBLE) AS threshold, distance >= 0.05 AS drifted FROM nd
+  UNION ALL SELECT "column", 'chisquare', CASE dof WHEN 2 THEN exp(-chi2 / 2) WHEN 4 THEN exp(-chi2 / 2) * (1 + chi2 / 2) END, 0.05, CASE dof WHEN 2 THEN exp(-chi2 / 2) WHEN 4 THEN exp(-chi2 / 2) * (1 + chi2 / 2) END < 0.05 FROM cd)"""
+
+
+@query("drift_report", REPORT_SQL + ' SELECT "column", method, round(value, 5) AS value, threshold, drifted FROM report', digits=5)
+def drift_report(spark, d):
+    ref, cur = _periods(spark, d)
+    return drift.drift_report(ref, cur)
+
+
 @query("drift_summary", PERIOD_VERDICTS + """ SELECT count(*) AS tested, round(count(*) FILTER (WHERE drifted) / count(*), 6) AS drift_share, count(*) FILTER (WHERE drifted) / count(*) > 0.3 AS dataset_drift,
   list("column" ORDER BY "column") FILTER (WHERE drifted) AS drifted_features FROM r""")
 def drift_summary(spark, d):
@@ -139,7 +144,8 @@ def drift_summary(spark, d):
     return drift.drift_summary(drift.drift_report(ref, cur))
 
 
-@query("drift_magnitude")
+@query("drift_magnitude", REPORT_SQL + """, m AS (SELECT *, CASE WHEN method = 'wasserstein' THEN value / threshold ELSE threshold / NULLIF(value, 0) END AS t FROM report)
+  SELECT "column", method, drifted, round(least(coalesce(t, 1e9), 20), 3) AS magnitude, coalesce(t, 1e9) > 20 AS capped FROM m""", digits=3)
 def drift_magnitude(spark, d):
     ref, cur = _periods(spark, d)
     return drift.drift_magnitude(drift.drift_report(ref, cur))

@@ -73,7 +73,7 @@ def null_sentinels(spark, d):
 
 
 @query("sentinel_report", """
-  SELECT 'c_acctbal' AS column, 0 AS before, count(*) FILTER (WHERE c_acctbal <= 0) AS after, count(*) FILTER (WHERE c_acctbal <= 0) AS converted FROM customer
+  SELECT 'c_acctbal' AS column, CAST(0 AS BIGINT) AS before, count(*) FILTER (WHERE c_acctbal <= 0) AS after, count(*) FILTER (WHERE c_acctbal <= 0) AS converted FROM customer
   UNION ALL SELECT 'c_mktsegment', 0, count(*) FILTER (WHERE c_mktsegment = 'FURNITURE'), count(*) FILTER (WHERE c_mktsegment = 'FURNITURE') FROM customer""")
 def sentinel_report(spark, d):
     before = table(spark, d, "customer").select("c_acctbal", "c_mktsegment")

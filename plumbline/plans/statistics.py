@@ -179,7 +179,15 @@ def chi_square_table(spark, d):
     return association.chi_square_stats(book(spark, d), CATEGORICAL, "defaulted")
 
 
-@query("bivariate_rank")
+# erfc by the series of erf, which is plenty for the moderate values of these tables
+ERFC = "1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda i: (CASE WHEN i % 2 = 0 THEN 1 ELSE -1 END) * power({x}, 2 * i + 1) / (gamma(i + 1) * (2 * i + 1))))"
+
+
+@query("bivariate_rank", with_book("WITH " + ", ".join(MW.format(c=c) for c in NUMERIC) + ", g AS (" + union_sql(CATEGORICAL, CHI.replace("{c} AS level", "CAST({c} AS VARCHAR) AS level")) + ")" + CHI_SQL.replace(
+    '  SELECT "column", round(chi2, 6)', '  , z AS (SELECT "column", round(chi2, 6)') + "), mw AS (" + union_sql(NUMERIC, MW_ROW) + """), pv AS (
+  SELECT "column", 'numeric' AS kind, u AS statistic, """ + ERFC.format(x="(z / sqrt(2))") + """ AS p_value, effect, abs(effect - 0.5) * 2 AS strength, n_pos, n_neg FROM mw
+  UNION ALL SELECT "column", 'categorical', chi2, CASE dof WHEN 1 THEN """ + ERFC.format(x="sqrt(chi2 / 2)") + """ WHEN 2 THEN exp(-chi2 / 2) WHEN 4 THEN exp(-chi2 / 2) * (1 + chi2 / 2) END, cramers_v, cramers_v, n_pos, n_neg FROM z)
+  SELECT "column", kind, round(statistic, 3) AS statistic, round(p_value, 3) AS p_value, round(effect, 3) AS effect, round(strength, 3) AS strength, n_pos, n_neg, p_value < 0.05 / 9 AS significant FROM pv"""), digits=3)
 def bivariate_rank(spark, d):
     return association.bivariate_rank(book(spark, d), NUMERIC, CATEGORICAL, "defaulted")
 
@@ -194,9 +202,12 @@ def ks_statistic(spark, d):
     return ranking.ks_two_sample(book(spark, d), "price", "defaulted").withColumn("area", F.round("area", 4))
 
 
-@query("ks_test")
+@query("ks_test", with_book(KS_SQL.format(v="price", y="defaulted", src="book") + """, k AS (SELECT max(abs(f1 - f0)) AS ks, sum(abs(f1 - f0) * coalesce(nx - s, 0)) AS area, sum(p) AS n1, sum(q) AS n0 FROM c),
+  x AS (SELECT *, ks * sqrt(n1 * n0 / (n1 + n0)) AS z FROM k)
+  SELECT round(ks, 6) AS ks, round(area, 4) AS area, CAST(n1 AS BIGINT) AS n1, CAST(n0 AS BIGINT) AS n0,
+    round(2 * list_sum(list_transform(range(1, 101), lambda i: (CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * CAST(i * i AS DOUBLE) * z * z))), 6) AS p_value FROM x"""))
 def ks_test(spark, d):
-    return association.ks_test(book(spark, d), "price", "defaulted")
+    return association.ks_test(book(spark, d), "price", "defaulted").withColumn("area", F.round("area", 4))
 
 
 @query("missing_effect", with_book("WITH g AS (" + union_sql(["balance", "quantity_band"], """
@@ -211,7 +222,9 @@ def missing_effect(spark, d):
     return association.missing_effect_stats(book(spark, d), ["balance", "quantity_band"], "defaulted")
 
 
-@query("missing_sign_test")
+@query("missing_sign_test", with_book("WITH e AS (" + union_sql(["balance", "total_to_balance"], "SELECT '{c}' AS c, avg(defaulted) FILTER (WHERE {c} IS NULL) > avg(defaulted) FILTER (WHERE {c} IS NOT NULL) AS h FROM book") + """),
+  k AS (SELECT count(*) FILTER (WHERE h) AS higher, count(*) AS n FROM e)
+  SELECT higher, n AS columns, round(list_sum(list_transform(range(higher, n + 1), lambda i: gamma(n + 1) / (gamma(i + 1) * gamma(n - i + 1)) / power(2, n))), 6) AS p_value FROM k"""))
 def missing_sign_test(spark, d):
     return association.missing_sign_test(association.missing_effect(book(spark, d), ["balance", "total_to_balance"], "defaulted"))
 
@@ -310,7 +323,12 @@ def transform_plan(spark, d):
     return planning.transform_plan(book(spark, d).select(*cols), ["price", "quantity", "balance", "total_to_balance"], {"defaulted": "target", "month": "cohort control"}, ordered=["priority"])
 
 
-@query("univariate_auc")
+@query("univariate_auc", with_book("WITH md AS (SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in NUMERIC) + " FROM book), l AS (" + union_sql(NUMERIC, "SELECT '{c}' AS \"column\", substr(month, 1, 4) AS yr, coalesce({c}, m_{c}) AS s, defaulted AS y, CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END AS gap FROM book, md") + """),
+  a AS (SELECT *, rank() OVER (PARTITION BY "column" ORDER BY s) + (count(*) OVER (PARTITION BY "column", s) - 1) / 2.0 AS r, rank() OVER (PARTITION BY "column", yr ORDER BY s) + (count(*) OVER (PARTITION BY "column", yr, s) - 1) / 2.0 AS ry FROM l),
+  w AS (SELECT "column", (sum(r) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) AS auc, avg(gap) AS missing FROM a GROUP BY 1),
+  v AS (SELECT "column", yr, (sum(ry) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) AS ya FROM a GROUP BY ALL)
+  SELECT "column", round(max(auc), 6) AS auc, round(max(missing), 6) AS missing, count(*) AS months, count(*) FILTER (WHERE (ya > 0.5) = (auc > 0.5)) AS months_same_sign,
+    CASE WHEN max(auc) > 0.5 THEN '+' ELSE '-' END AS direction, round(abs(max(auc) - 0.5), 6) AS strength FROM w JOIN v USING ("column") GROUP BY 1"""))
 def univariate_auc(spark, d):
     b = book(spark, d).withColumn("year", F.substring("month", 1, 4))
     return association.univariate_auc(b, NUMERIC, "defaulted", "year")
