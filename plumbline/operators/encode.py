@@ -19,6 +19,18 @@ class WoeState:
     woe: dict[str, list[float]]
 
 
+def _totals(df: DataFrame, y: str) -> tuple[Column, Column]:
+    """Rows and positives of the table as one scalar subquery."""
+    both = df.agg(F.struct(F.count("*").cast("double").alias("n"), F.sum(F.col(y).cast("double")).alias("s")).alias("t")).scalar()
+    return both["n"], both["s"]
+
+
+def woe_edges(df: DataFrame, cols: Sequence[str], bins: int = 5) -> dict[str, list[float]]:
+    """Interior quantile edges of each column, repeats merged."""
+    q = exact_quantiles(df, list(cols), [j / bins for j in range(1, bins)])
+    return {c: sorted(set(v for v in q[c] if v is not None)) for c in cols}
+
+
 def woe_bins(df: DataFrame, edges: dict[str, list[float]], y: str, smoothing: float = 0.5) -> DataFrame:
     """(column, bin, n, pos, woe) for left-closed bins, from one scan of stacked bin numbers.
 
@@ -37,16 +49,14 @@ def woe_bins(df: DataFrame, edges: dict[str, list[float]], y: str, smoothing: fl
         [(c, b) for c, e in edges.items() for b in range(len(e) + 1)], "column string, bin int"
     ).select("column", "bin", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("pos"))
     full = counts.unionByName(every).groupBy("column", "bin").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    total = df.agg(F.sum(F.col(y).cast("int")).cast("double").alias("p"), F.count("*").cast("double").alias("n"))
-    pos, rows = total.select("p").scalar(), total.select("n").scalar()
+    rows, pos = _totals(df, y)
     p, q = F.col("pos") + smoothing, F.col("n") - F.col("pos") + smoothing
     return full.select("column", "bin", "n", "pos", F.log((p / pos) / (q / (rows - pos))).alias("woe"))
 
 
 def fit_woe(df: DataFrame, cols: Sequence[str], y: str, bins: int = 5, smoothing: float = 0.5) -> WoeState:
     """Interior quantile edges (repeats merged) and the weight of evidence of each bin."""
-    q = exact_quantiles(df, list(cols), [j / bins for j in range(1, bins)])
-    edges = {c: sorted(set(v for v in q[c] if v is not None)) for c in cols}
+    edges = woe_edges(df, cols, bins)
     rows = woe_bins(df, edges, y, smoothing).collect()  # len(cols) * bins rows
     woe = {c: [0.0] * (len(edges[c]) + 1) for c in cols}
     for r in rows:
@@ -93,8 +103,7 @@ def fit_target_encoding(df: DataFrame, cols: Sequence[str], y: str, smooth: floa
         df.select(F.col(y).cast("double").alias("_y"), F.explode(cells).alias("_c"))
         .groupBy("_c.column", "_c.level").agg(F.count("*").alias("n"), F.sum("_y").alias("s"))
     )
-    total = df.agg(F.count("*").cast("double").alias("n"), F.sum(F.col(y).cast("double")).alias("s"))
-    gn, gs = total.select("n").scalar(), total.select("s").scalar()
+    gn, gs = _totals(df, y)
     return g.select("column", "level", "n", _shrunk(F.col("n"), F.col("s"), gn, gs, smooth).alias("encoding"))
 
 
@@ -117,8 +126,7 @@ def target_encode(
     fold = F.pmod(F.xxhash64(*[F.col(c) for c in key], F.lit(seed)), F.lit(k)).cast("int")
     rows = df.withColumn("_fold", fold)
     per_fold = rows.groupBy("_fold").agg(F.count("*").cast("double").alias("_fn"), F.sum(F.col(y).cast("double")).alias("_fs"))
-    total = df.agg(F.count("*").cast("double").alias("n"), F.sum(F.col(y).cast("double")).alias("s"))
-    gn, gs = total.select("n").scalar(), total.select("s").scalar()
+    gn, gs = _totals(df, y)
     out = rows
     for c in cols:
         cell = rows.groupBy(_level(c).alias("_l"), "_fold").agg(F.count("*").alias("_n"), F.sum(F.col(y).cast("double")).alias("_s"))

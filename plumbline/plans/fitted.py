@@ -100,8 +100,7 @@ WOE_SQL = """WITH e AS (SELECT list_distinct(list_value(quantile_cont({c}, 0.2),
 @query("woe_bins", with_book("SELECT * FROM (" + WOE_SQL.format(c="quantity") + ") UNION ALL SELECT * FROM (" + WOE_SQL.format(c="price") + ")"))
 def woe_bins(spark, d):
     b = book(spark, d).select("quantity", "price", "defaulted")
-    state = encode.fit_woe(b, ["quantity", "price"], "defaulted", 5)
-    return encode.woe_bins(b, state.edges, "defaulted")
+    return encode.woe_bins(b, encode.woe_edges(b, ["quantity", "price"], 5), "defaulted")
 
 
 @query("woe_applied", with_book(f"WITH w AS ({WOE_SQL.format(c='quantity')}), e AS (SELECT list_distinct(list_value(quantile_cont(quantity, 0.2), quantile_cont(quantity, 0.4), quantile_cont(quantity, 0.6), quantile_cont(quantity, 0.8))) AS cuts FROM book) SELECT segment, round(avg(woe), 4) AS woe FROM (SELECT segment, len(list_filter(cuts, lambda v: v <= quantity)) AS bin FROM book, e) JOIN w USING (bin) GROUP BY 1"), digits=4)
