@@ -27,11 +27,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "plu
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a private one only where the cluster set none."""
-    jsc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or jsc.getConf().get("spark.checkpoint.dir", None)
-    current = jsc.getCheckpointDir()
-    if current:
-        return current
-    target = configured or tempfile.mkdtemp(prefix="plumbline-checkpoint-")
-    jsc.setCheckpointDir(target)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    target = configured or current or tempfile.mkdtemp(prefix="plumbline-checkpoint-")
+    if not current:
+        sc.setCheckpointDir(target)
     return target
