@@ -26,11 +26,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "plu
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a private one only where the cluster set none."""
+    """The shared folder named by spark.checkpoint.dir. A local session, which is one machine, gets a folder of its own where none is
+    set; a cluster has to name one."""
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    target = configured or current or tempfile.mkdtemp(prefix="plumbline-checkpoint-")
-    if not current:
+    target = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not target:
+        if not (sc.master or "").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        target = tempfile.mkdtemp(prefix="plumbline-checkpoint-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(target)
     return target
