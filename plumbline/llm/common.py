@@ -18,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows a broadcast table may have; beyond it the same join is left to the shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Characters of text that one numpy pass works on.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def shared_path(spark, name: str) -> str:

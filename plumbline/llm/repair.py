@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,13 +16,13 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import gathered, offsets, shared_path, slices
 
 #: Ids of a shard; a longer document is a shard of its own.
-SHARD_IDS = 2_000_000
+SHARD_IDS = 1_000_000
 #: A pair is replaced if it is chosen so often in a round; rounds end when one shortens the sequence by less than this share.
 LEAST_PAIRS, LEAST_GAIN = 4, 0.005
 #: Bits of the table in which a round counts pairs.
-TABLE_BITS = 20
+TABLE_BITS = 18
 #: Words whose ids a task remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 SHARD = "part int, place int, base int, doc_ids binary, doc_ends binary, rule_pairs binary, rule_lengths binary, width int, sequence binary, n_tokens long"
 
 
@@ -54,7 +56,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least_pairs: int = LE
             slot = ((key * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * turn & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
         turn += 1
         owner = np.zeros(slots, np.uint64)
-        owner[slot[::-1]] = key[::-1]  # the leftmost pair of a slot has it
+        owner[slot] = key
         fits = (owner[slot] == key) & ~last[:-1]
         counts = np.bincount(slot[fits], minlength=slots)
         rank = np.where(fits, counts[slot], 0)
@@ -153,39 +155,73 @@ def grammar_of(shard: dict) -> Grammar:
 
 class WordEncoder:
     """Ids of texts by the tokenizer. Its pre-tokens never cross a blank or a line feed, so stretches between those are encoded once
-    each and their ids copied; the memory holds a bounded number of them."""
+    each and their ids copied; the memory holds a bounded number of them. Plain words, which its normaliser leaves as they are, are
+    encoded many at a time and split at blanks alone: the ids of each pre-token end with one that closes a word, which tells them
+    apart."""
 
     def __init__(self, tokenizer_file: str, cached: int = CACHED_WORDS):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+
         self.tokenizer, self.cached = Tokenizer.from_file(tokenizer_file), cached
+        self.simple = Tokenizer.from_file(tokenizer_file)
+        self.simple.normalizer = None
+        self.simple.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat, self.lengths = [], []
+        self.flat, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    @staticmethod
+    def _pre_tokens(word: str) -> int:
+        """1 for lower-case letters alone, 2 for these and one mark after them, 0 for what is not plain."""
+        body = word[:-1] if word[-1:] in (".", ",") else word
+        plain = body.isalpha() and body == body.lower() and (body.isascii() or unicodedata.is_normalized("NFC", body))
+        return (1 if body is word else 2) if plain else 0
+
+    def _learn(self, words: list[str]) -> None:
+        n = np.fromiter(map(self._pre_tokens, words), np.int64, len(words))
+        plain, odd = [words[i] for i in np.flatnonzero(n)], [words[i] for i in np.flatnonzero(n == 0)]
+        apart = [w if k == 1 else f"{w[:-1]} {w[-1]}" for w, k in zip(plain, n[n > 0].tolist())]
+        lines = [" ".join(apart[i:i + 200]) for i in range(0, len(apart), 200)]
+        lists = [e.ids for i in range(0, len(lines), 100) for e in self.simple.encode_batch_fast(lines[i:i + 100], add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        last = ends[np.cumsum(n[n > 0]) - 1] if plain else ends
+        lists = [e.ids for i in range(0, len(odd), 20_000) for e in self.tokenizer.encode_batch_fast(odd[i:i + 20_000], add_special_tokens=False)]
+        self.known.update(zip(plain + odd, range(len(self.known), len(self.known) + len(words))))
+        self.flat = np.concatenate([self.flat, ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
+        self.lengths = np.concatenate([self.lengths, np.diff(last, prepend=0), np.fromiter(map(len, lists), np.int64, len(lists))])
+
+    @staticmethod
+    def _lower(text: str) -> str:
+        """Lower case where the tokenizer's own step would give the same: it leaves fewer words to learn."""
+        if "<|" in text or not text.isascii() and ("\u03a3" in text or "\u0130" in text or not unicodedata.is_normalized("NFC", text)):
+            return text
+        return text.lower()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
         if len(self.known) > self.cached:
             self._clear()
-        per_text = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = list({w for ws in per_text for w in ws if w not in known})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            known.update(zip(part, range(len(known), len(known) + len(part))))
-            self.lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            self.flat.append(np.fromiter((x for a in ids for x in a), np.uint32))
-        self.flat, self.lengths = [np.concatenate(self.flat or [np.empty(0, np.uint32)])], [np.concatenate(self.lengths or [np.empty(0, np.int64)])]
-        flat, lengths = self.flat[0], self.lengths[0]
-        starts = np.cumsum(lengths) - lengths
+        per_text = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
+        new = list(set().union(*per_text).difference(self.known))
+        if new:
+            self._learn(new)
+        starts = np.cumsum(self.lengths) - self.lengths
         counts = np.fromiter(map(len, per_text), np.int64, len(per_text))
-        codes = np.fromiter((known[w] for ws in per_text for w in ws), np.int64, int(counts.sum()))
-        n = lengths[codes]
+        codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(per_text)), np.int64, int(counts.sum()))
+        n = self.lengths[codes]
         per = np.diff(offsets(n)[offsets(counts)])
-        return gathered(flat, starts[codes], n), per
+        return gathered(self.flat, starts[codes], n), per
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, shard_ids: int = SHARD_IDS) -> None:
