@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -22,7 +23,10 @@ LEAST_PAIRS, LEAST_GAIN = 4, 0.005
 #: Bits of the table in which a round counts pairs.
 TABLE_BITS = 18
 #: Words whose ids a task remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
+#: Characters that a task encodes: the fewer tasks, the fewer words are learned again.
+TASK_CHARS = 40_000_000
+_ASCII = re.compile("[a-z]+[.,]?")
 SHARD = "part int, place int, base int, doc_ids binary, doc_ends binary, rule_pairs binary, rule_lengths binary, width int, sequence binary, n_tokens long"
 
 
@@ -183,6 +187,8 @@ class WordEncoder:
     @staticmethod
     def _pre_tokens(word: str) -> int:
         """1 for lower-case letters alone, 2 for these and one mark after them, 0 for what is not plain."""
+        if _ASCII.fullmatch(word):
+            return 2 if word[-1] < "a" else 1
         body = word[:-1] if word[-1:] in (".", ",") else word
         plain = body.isalpha() and body == body.lower() and (body.isascii() or unicodedata.is_normalized("NFC", body))
         return (1 if body is word else 2) if plain else 0
@@ -271,7 +277,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
         if held:
             yield shard()
 
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(max(1, -(-total // TASK_CHARS)), *order).sortWithinPartitions(*order)
     ranged.mapInArrow(encode, SHARD).write.parquet(path)
 
 
