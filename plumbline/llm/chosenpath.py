@@ -143,23 +143,49 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _joins(linked: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect what the links inside the blocks leave apart: a forest over the components of the blocks."""
+    inside = own[:, None] == own[None, :]
+    part = np.arange(len(linked))
+    for i, j in _forest(linked & inside):
+        part[j] = part[i]  # a forest is listed from its roots down
+    i, j = np.nonzero(np.triu(linked & ~inside))
+    _, first = np.unique(part[i] * len(linked) + part[j], return_index=True)
+    root = list(range(len(linked)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for k in first.tolist():
+        a, b = find(int(part[i[k]])), find(int(part[j[k]]))
+        if a != b:
+            root[a] = b
+            out.append((int(i[k]), int(j[k])))
+    return out
+
+
 def candidates(leaves: DataFrame, reps: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
     """(a, b): a spanning forest of the pairs of each leaf that the sketches do not rule out. A linked pair falls below this bound
     on the estimate with a probability under 1 in 10,000."""
     least = math.floor(TOKENS * similarity - 4 * math.sqrt(TOKENS * similarity * (1 - similarity)))
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sk = np.frombuffer(b"".join(pdf["sketch"]), "<u4").reshape(-1, TOKENS)
         n, rep = pdf["n"].to_numpy(), pdf["rep"].to_numpy()
         same = np.zeros((len(n), len(n)), np.uint8)
         for j in range(TOKENS):
             same += sk[:, j][:, None] == sk[:, j][None, :]
         linked = (same >= least) & (np.minimum(n[:, None], n[None, :]) >= similarity * np.maximum(n[:, None], n[None, :]) - 1e-9)
-        edges = _forest(linked)
+        # links inside a block are told where the block meets itself
+        edges = _forest(linked) if key[1] == key[2] else _joins(linked, pdf["_own"].to_numpy())
         return pd.DataFrame({"a": [rep[i] for i, _ in edges], "b": [rep[j] for _, j in edges]}, dtype="int64")
 
     rows = block_pairs(leaves.join(reps.select("rep", "n", "sketch"), "rep"), block)
-    return rows.select("node", "bi", "bj", "rep", "n", "sketch").groupBy("node", "bi", "bj").applyInPandas(compare, "a long, b long")
+    return rows.select("node", "bi", "bj", "_own", "rep", "n", "sketch").groupBy("node", "bi", "bj").applyInPandas(compare, "a long, b long")
 
 
 def _verified(similarity: float, bi: int, bj: int, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +211,7 @@ def _verified(similarity: float, bi: int, bj: int, pdf: pd.DataFrame) -> pd.Data
     np.fill_diagonal(linked, False)
     counted = linked if bi == bj else linked & (own[:, None] != own[None, :])
     links = counted @ copies
-    edges = _forest(linked)
+    edges = _forest(linked) if bi == bj else _joins(linked, own)
     return pd.DataFrame({"rep": np.r_[rep, rep[[i for i, _ in edges]]].astype("int64"), "links": np.r_[links, np.zeros(len(edges))].astype("int64"),
                          "peer": pd.array([None] * len(rep) + [int(rep[j]) for _, j in edges], dtype="Int64")})
 

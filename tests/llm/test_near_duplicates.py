@@ -101,3 +101,19 @@ def test_shingles_of_short_and_empty_texts():
     h, n = common.shingles(["", "a b", "a b c d e f", "A  B", " "])
     assert n.tolist() == [0, 1, 2, 1, 0] and h[0] == h[3]
     assert defaultdict(int, zip(h.tolist(), h.tolist()))[int(h[0])]
+
+
+def test_joins_connect_what_blocks_leave_apart():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        n = 14
+        m = np.triu(rng.random((n, n)) < 0.12, 1)
+        m |= m.T
+        own = rng.integers(0, 2, n)
+        inside = m & (own[:, None] == own[None, :])
+        edges = chosenpath._forest(inside) + chosenpath._joins(m, own)
+        assert all(m[a, b] for a, b in edges) and len(edges) == len(chosenpath._forest(m))
+        again = np.zeros_like(m)
+        for a, b in edges:
+            again[a, b] = again[b, a] = True
+        assert len(chosenpath._forest(again)) == len(edges)
