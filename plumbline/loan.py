@@ -190,8 +190,9 @@ def derive(df: DataFrame, spec: PortfolioSpec = LOAN_SPEC) -> DataFrame:
     return dv.missing_flags(out, spec.watched, spec.missing_prefix)
 
 
-def loan_contract(labelled: bool = False) -> Contract:
-    """The promises of a prepared table; scoring uses the unlabelled one and never needs the outcome."""
+def loan_contract(labelled: bool = False, requests: bool = False) -> Contract:
+    """The promises of a prepared table; scoring uses the unlabelled one and never needs the outcome. Requests may share one id and
+    carry columns of their own."""
     counts = (
         "total_otros_prestamos", "cant_creditosvigentes", "huella_consulta",
         "creditos_sectorFinanciero", "creditos_sectorCooperativo", "creditos_sectorReal",
@@ -231,14 +232,15 @@ def loan_contract(labelled: bool = False) -> Contract:
             # dates, not instants: a loan disbursed later today is not in the future
             "fecha_prestamo_no_es_futura": F.to_date("fecha_prestamo") <= F.current_date(),
         },
-        key=("cliente_id",),
+        key=() if requests else ("cliente_id",),
+        strict=not requests,
     )
 
 
-def prepare_features(raw: DataFrame, check: bool = True) -> DataFrame:
-    """Clean, derive and validate; the outcome is dropped if present."""
+def prepare_features(raw: DataFrame, check: bool = True, requests: bool = True) -> DataFrame:
+    """Clean, derive and validate; the outcome is dropped if present. requests=False also holds a table to its key and its columns."""
     out = derive(clean(raw.drop(LOAN_SPEC.target)))
-    return assert_valid(out, loan_contract()) if check else out
+    return assert_valid(out, loan_contract(requests=requests)) if check else out
 
 
 def prepare_labelled(raw: DataFrame, check: bool = True) -> DataFrame:

@@ -125,15 +125,15 @@ def drift_summary(report: DataFrame, spec: DriftSpec = DriftSpec()) -> DataFrame
     )
 
 
-def drift_magnitude(report: DataFrame, cap: float = 20.0, top: int = 12) -> DataFrame:
-    """How many times past its own threshold each column is, capped, largest first."""
+def drift_magnitude(report: DataFrame, cap: float = 20.0) -> DataFrame:
+    """How many times past its own threshold every column is, with the value capped, largest first."""
     times = F.when(F.col("method") == "wasserstein", F.col("value") / F.col("threshold")).otherwise(
         F.coalesce(F.try_divide(F.col("threshold"), F.col("value")), F.lit(float("inf")))
     )
     out = report.select("column", "method", "drifted", times.alias("_t"))
     return (
         out.select("column", "method", "drifted", F.least("_t", F.lit(cap)).alias("magnitude"), (F.col("_t") > cap).alias("capped"))
-        .orderBy(F.desc("magnitude"), "column").limit(top)
+        .orderBy(F.desc("magnitude"), "column")
     )
 
 

@@ -284,7 +284,7 @@ def select_champion(results: DataFrame, metric: str, by: Sequence[str] = ()) ->
     m = F.col(metric)
     usable = results.where(m.isNotNull() & ~F.isnan(m))
     std = F.when(F.isnan("cv_std"), None).otherwise(F.col("cv_std"))
-    order = F.struct(F.round(m, 4).alias("m"), F.coalesce(-std, F.lit(-1.0)).alias("s"))
+    order = F.struct(F.round(m, 4).alias("m"), F.coalesce(-std, F.lit(float("-inf"))).alias("s"))
     best = usable.groupBy(*by).agg(F.max_by(F.struct(*results.columns), order).alias("_b"))
     return best.select("_b.*").where(m.isNotNull())
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import unit_hash
 
+#: Rows that a slice of the exact fold deal holds on average.
+SLICE_ROWS = 50_000
+
 
 def month_counts(df: DataFrame, month: str) -> DataFrame:
     """Rows per month with the cumulative share: one row per calendar month."""
@@ -125,7 +128,7 @@ def stratified_folds(
     h = F.xxhash64(*keys, F.col("repeat"), F.lit(seed))
     if not exact:
         return reps.withColumn("fold", F.pmod(h, F.lit(k)).cast("int"))
-    slices = 1024
+    slices = max(1, -(-df.count() * repeats // SLICE_ROWS))
     marked = reps.withColumn("_h", h).withColumn("_s", F.pmod("_h", F.lit(slices)))
     per = marked.groupBy("repeat", y, "_s").agg(F.count("*").alias("_c"))
     before = Window.partitionBy("repeat", y).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)

@@ -68,8 +68,23 @@ def validate(df: DataFrame, contract: Contract) -> DataFrame:
     return wide.select(F.inline(long))
 
 
+def schema_faults(df: DataFrame, contract: Contract) -> list[str]:
+    """Declared columns that are missing or of another type and, in a strict contract, columns that it does not declare."""
+    have = {f.name: f.dataType for f in df.schema}
+    names = {r.name for r in contract.columns}
+    out = [f"{r.name}: missing" for r in contract.columns if r.name not in have]
+    out += [f"{r.name}: {have[r.name].simpleString()} instead of {r.type.simpleString()}" for r in contract.columns if r.type is not None and r.name in have and have[r.name] != r.type]
+    return out + ([f"{c}: unexpected" for c in have if c not in names] if contract.strict else [])
+
+
 def assert_valid(df: DataFrame, contract: Contract) -> DataFrame:
-    """Fails the job at the first row that breaks a rule; otherwise the same rows pass through."""
+    """Refuses a table whose columns or types are not the declared ones or whose key repeats (one aggregation on the key), and fails the
+    job at the first row that breaks a rule; otherwise the same rows pass through."""
+    faults = schema_faults(df, contract)
+    if not faults and contract.key:
+        faults = [f"key repeats: {tuple(r)[:-1]} {r['n']} times" for r in duplicate_keys(df, contract.key).limit(3).collect()]
+    if faults:
+        raise ValueError("contract broken: " + "; ".join(faults))
     broken = F.array_compact(F.array(*[
         F.when(cond, F.lit(f"{c}:{r}")) for (c, r), cond in contract.bad_conditions().items()
     ]))

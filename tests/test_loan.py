@@ -166,3 +166,14 @@ def test_strict_schema_and_staleness(spark):
     assert validate.stale_fields(want, df) == ["a", "b"] and validate.stale_fields(df.schema, df.drop("a")) == ["a"]
     with pytest.raises(TypeError):
         validate.check_storable(df.withColumn("d", F.array("a")))
+
+
+def test_contract_refuses_other_columns_types_and_repeated_keys(raw):
+    out = loan.prepare_labelled(raw)
+    contract = loan.loan_contract(labelled=True)
+    cases = [(out.union(out), "key repeats"), (out.withColumn("extra", F.lit(1)), "extra: unexpected"),
+             (out.withColumn("plazo_meses", F.col("plazo_meses").cast("string")), "plazo_meses: string instead of bigint"), (out.drop("dti"), "dti: missing")]
+    for bad, said in cases:
+        with pytest.raises(ValueError, match=said):
+            validate.assert_valid(bad, contract)
+    assert validate.assert_valid(out.union(out), loan.loan_contract(labelled=True, requests=True)).count() == 2 * out.count()
