@@ -73,10 +73,11 @@ def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column
     return (F.when((a == "") & (b == ""), 1.0).when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), share)))
 
 
-def with_next(docs: DataFrame, columns: list[str], order: str = "doc_id", range_chars: int = RANGE_CHARS) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], order: str = "doc_id", range_chars: int = RANGE_CHARS, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """next_<c> of the row that follows in descending order of the id (null ids last; equal ids by text hash); after the last row comes
     the first. Rows are dealt to id ranges of like volume; in a range a window looks ahead, and the last row of a range takes the
-    first row of the next range that has any, of which there is one per range."""
+    first row of the next range that has any, of which there is one per range. derive adds columns that follow from a row alone; it is
+    applied to all rows and to those first ones, not to every row once more to find them."""
     total, rows = docs.agg(F.sum(F.length("text")), F.count("*")).first()
     n = max(1, -(-(total or 0) // range_chars), -(-rows // 20_000))
     cuts = docs.approxQuantile(order, [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
@@ -85,12 +86,15 @@ def with_next(docs: DataFrame, columns: list[str], order: str = "doc_id", range_
     keyed = docs.withColumn("_bucket", bucket).withColumn("_tie", F.xxhash64("text"))
     sort = [F.col(order).desc_nulls_last(), F.col("_tie").asc()]
     inside = Window.partitionBy("_bucket").orderBy(*sort)
-    ahead = keyed.withColumn("_last", F.lead(F.lit(False), 1, True).over(inside))
+    derive = derive or (lambda df: df)
+    plain = [c for c in columns if c in keyed.columns]
+    ahead = derive(keyed).withColumn("_last", F.lead(F.lit(False), 1, True).over(inside))
     for c in columns:
         ahead = ahead.withColumn(f"next_{c}", F.lead(c).over(inside))
     # of each range the first row: the largest id, then the least hash
     key = F.struct(F.coalesce(-F.col(order), F.lit(0)).alias("k"), F.col("_tie"))
-    heads = keyed.groupBy("_bucket").agg(F.min_by(F.struct(*columns), key).alias("head"))
+    heads = keyed.groupBy("_bucket").agg(F.min_by(F.struct(*plain), key).alias("head")).select("_bucket", "head.*")
+    heads = derive(stored(heads, "firsts")).select("_bucket", F.struct(*columns).alias("head"))
     # one row per range: as many as there are cuts
     turn = Window.orderBy(F.col("_bucket").desc())
     ring = heads.withColumn("_to", F.coalesce(F.lead("head").over(turn), F.first("head").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
@@ -108,10 +112,9 @@ def edited_fingerprints(docs: DataFrame, bins: int = BINS, bits: int = BITS) ->
     each other. Equal texts have equal fingerprints.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    own = plain.withColumn("fingerprint", fingerprint(F.col("text"), bins, bits))
     n = F.length("text").cast("long")
     half = F.floor(n / 2).cast("int")
-    paired = with_next(own, ["text", "fingerprint"])
+    paired = with_next(plain, ["text", "fingerprint"], derive=lambda df: df.withColumn("fingerprint", fingerprint(F.col("text"), bins, bits)))
     edited = F.concat(F.substring("text", F.lit(1), n.cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = paired.select("doc_id", n.alias("n_chars"), "fingerprint", F.col("next_fingerprint"), edited.alias("edited"))
     done = rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
