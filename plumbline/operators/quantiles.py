@@ -2,12 +2,15 @@
 
 The built-in exact percentile keeps every distinct value of a group in one aggregation buffer.
 Here a sketch first brackets each wanted rank within its error bound; one more scan then counts
-what lies below the bracket and keeps only the distinct values inside it. The shuffle carries a
-sliver of the column, and the answer equals linear interpolation between order statistics.
+what lies outside the brackets and keeps only the distinct values inside them. The shuffle carries
+a sliver of the column, and the answer equals linear interpolation between order statistics. Every
+size takes this path. In small tables a bracket is one value, so the counted stretches also carry
+their least and greatest value: the ranks next to a bracket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import as_column, bucket_index, finite
 
 SKETCH_ACCURACY = 10_000
-SMALL_COUNT = 100_000  # below this many rows the bracket is the whole range of the group
+BRACKET_ROWS = 1_000_000  # a bracket expected to hold more rows is sketched again inside
 
 
 def _bracket_probs(p: float, accuracy: int) -> tuple[float, float]:
@@ -25,16 +28,47 @@ def _bracket_probs(p: float, accuracy: int) -> tuple[float, float]:
     return max(0.0, p - margin), min(1.0, p + margin)
 
 
+def _narrowed(values: DataFrame, brackets: dict, ranks: dict, counts: dict, accuracy: int, bracket_rows: int) -> dict:
+    """Brackets (column, probability) -> (lo, hi), sketched again inside until none is expected to hold more than bracket_rows rows.
+
+    A round counts what lies below and inside the wide brackets, then sketches the wanted ranks among the values inside. A bracket
+    that a round cannot narrow is held apart by its ends alone: nearly all its rows repeat one of a few values.
+    """
+    expected = {k: counts[k[0]] * 6.0 / accuracy for k in brackets}
+    fixed = set()
+    while wide := [k for k, (lo, hi) in brackets.items() if expected[k] > bracket_rows and lo < hi and k not in fixed]:
+        v = {k: F.col(f"v{k[0]}") for k in wide}
+        inside = {k: F.when(v[k].between(*brackets[k]), v[k]) for k in wide}
+        tallies = [F.count(F.when(v[k] < brackets[k][0], 1)).alias(f"below{j}") for j, k in enumerate(wide)]
+        tallies += [F.count(inside[k]).alias(f"inside{j}") for j, k in enumerate(wide)]
+        tally = values.agg(*tallies).first()
+        asked = []
+        for j, k in enumerate(wide):
+            n = max(1, tally[f"inside{j}"])
+            low, high = ((r - tally[f"below{j}"] + e) / n for r, e in zip(ranks[k], (0, 1)))
+            share = [_bracket_probs(min(1.0, max(0.0, low)), accuracy)[0], _bracket_probs(min(1.0, max(0.0, high)), accuracy)[1]]
+            asked.append(F.percentile_approx(inside[k], share, accuracy).alias(f"q{j}"))
+            expected[k] = n * 6.0 / accuracy
+        found = values.agg(*asked).first()
+        for j, k in enumerate(wide):
+            new = tuple(found[f"q{j}"])
+            if new == brackets[k]:
+                fixed.add(k)
+            brackets[k] = new
+    return brackets
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str] | dict[str, Column],
     probs: Sequence[float],
     accuracy: int = SKETCH_ACCURACY,
-    small: int = SMALL_COUNT,
+    bracket_rows: int = BRACKET_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column over finite values, as fitted state: len(cols) * len(probs) numbers.
 
-    A column without a finite value gives None for every probability.
+    A column without a finite value gives None for every probability. The window over what is kept of a column sees about
+    bracket_rows rows for each probability, whatever the size of the table.
     """
     named = {c: F.col(c) for c in cols} if not isinstance(cols, dict) else cols
     names = list(named)
@@ -51,42 +85,33 @@ def exact_quantiles(
         ]
     first = values.agg(*sketch).first()
 
-    keyed = []
-    for i in range(len(names)):
-        n = first[f"n{i}"]
-        if not n:
-            continue
-        if n <= small:
-            spans = [(first[f"lo{i}"], first[f"hi{i}"])]
-        else:
-            q = first[f"q{i}"]
-            spans = _merge([(q[2 * k], q[2 * k + 1]) for k in range(len(probs))])
-        keyed.append(F.struct(F.lit(i).alias("c"), *_segment(F.col(f"v{i}"), spans)))
-    if not keyed:
+    counts = {i: first[f"n{i}"] for i in range(len(names)) if first[f"n{i}"]}
+    if not counts:
         return {n: [None] * len(probs) for n in names}
+    brackets, ranks = {}, {}
+    for i, n in counts.items():
+        for k, p in enumerate(probs):
+            brackets[i, k] = tuple(first[f"q{i}"][2 * k : 2 * k + 2])
+            ranks[i, k] = (math.floor((n - 1) * p), math.ceil((n - 1) * p))
+    brackets = _narrowed(values, brackets, ranks, counts, accuracy, bracket_rows)
+    keyed = []
+    for i in counts:
+        spans = _merge([brackets[i, k] for k in range(len(probs))])
+        keyed.append(F.struct(F.lit(i).alias("c"), *_segment(F.col(f"v{i}"), spans), F.col(f"v{i}").alias("x")))
 
     counted = (
         values.select(F.explode(F.array(*keyed)).alias("k"))
         .where("k.seg is not null")
         .groupBy("k.c", "k.seg", "k.v")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.min("k.x").alias("least"), F.max("k.x").alias("most"))
     )
     w = Window.partitionBy("c").orderBy("seg", "v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("upto", F.sum("n").over(w))
-    picks = []
-    for j, p in enumerate(probs):
-        for tag in ("a", "b"):
-            per_column = None
-            for i in range(len(names)):
-                n = first[f"n{i}"]
-                if not n:
-                    continue
-                pos = (n - 1) * p
-                rank = int(pos) if tag == "a" else min(n - 1, int(pos) + (pos > int(pos)))
-                hit = (F.col("c") == i) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-                per_column = hit if per_column is None else per_column | hit
-            picks.append(F.max(F.when(per_column, F.col("v"))).alias(f"{tag}{j}"))
-    found = {r["c"]: r for r in ranked.groupBy("c").agg(*picks).collect()}  # one row per column
+    wanted = F.array(*[F.array(*[F.lit(r) for r in sorted({r for k in range(len(probs)) for r in ranks[i, k]})] if i in counts else [F.lit(-1)]) for i in range(len(names))])
+    holds = F.exists(F.get(wanted, F.col("c")), lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    found: dict[int, list] = {i: [] for i in counts}
+    for row in ranked.where(holds).collect():  # at most two rows for each column and probability
+        found[row["c"]].append(row)
 
     out: dict[str, list[float | None]] = {}
     for i, name in enumerate(names):
@@ -94,9 +119,9 @@ def exact_quantiles(
         if not n:
             out[name] = [None] * len(probs)
             continue
-        row, qs = found[i], []
+        qs = []
         for j, p in enumerate(probs):
-            a, b = row[f"a{j}"], row[f"b{j}"]
+            a, b = (_at_rank(found[i], r) for r in ranks[i, j])
             if a is None or b is None:
                 raise ArithmeticError(f"quantile {p} of {name} left its sketch bracket; raise the accuracy")
             pos = (n - 1) * p
@@ -105,6 +130,15 @@ def exact_quantiles(
     return out
 
 
+def _at_rank(rows: list, rank: int) -> float | None:
+    """The value at a rank: the kept value of the row that holds it, or one end of a counted stretch."""
+    for row in rows:
+        if row["upto"] - row["n"] <= rank < row["upto"]:
+            ends = {row["upto"] - 1: row["most"], row["upto"] - row["n"]: row["least"]}
+            return row["v"] if row["v"] is not None else ends.get(rank)
+    return None
+
+
 def _merge(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
     merged: list[tuple[float, float]] = []
     for lo, hi in sorted(spans):
@@ -138,23 +172,21 @@ def grouped_quantiles(
     col: str,
     probs: dict[str, float],
     accuracy: int = SKETCH_ACCURACY,
-    small: int = SMALL_COUNT,
 ) -> DataFrame:
     """One row per group with an exact quantile per entry of `probs` (output name -> probability).
 
     Lazy. The per-group brackets join back on the group key; values outside every bracket collapse
-    into counts in the map-side aggregation, so a group holding most of the rows stays cheap.
+    into counts in the map-side aggregation, so a group holding most of the rows stays cheap. The
+    window of a group sees the distinct values of its brackets, at most 6 / accuracy of its rows for
+    each probability.
     """
     by = list(by)
     rows = df.select(*by, finite(col).alias("_v")).where("_v is not null")
     wanted = [b for p in probs.values() for b in _bracket_probs(p, accuracy)]
     brackets = rows.groupBy(*by).agg(
         F.count("*").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
         F.percentile_approx("_v", wanted, accuracy).alias("_q"),
     )
-    keep_all = F.col("_n") <= small
     inside = F.lit(False)
     cut = F.lit(0)
     for j in range(len(probs)):
@@ -163,7 +195,6 @@ def grouped_quantiles(
         # Values between two brackets must keep their order, so the collapsed ones carry the number
         # of bracket starts at or below them.
         cut = cut + F.when(F.col("_v") >= lo, 1).otherwise(0)
-    keep = keep_all | inside
     left, right = rows.alias("l"), brackets.alias("r")
     same = F.lit(True)
     for c in by:
@@ -172,32 +203,37 @@ def grouped_quantiles(
     counted = (
         joined.select(
             *by, "_n",
-            F.when(keep_all, 0).otherwise(cut).alias("_cut"),
-            F.when(keep, F.col("_v")).alias("_v"),
+            cut.alias("_cut"),
+            F.when(inside, F.col("_v")).alias("_kept"),
+            "_v",
         )
-        .groupBy(*by, "_n", "_cut", "_v")
-        .agg(F.count("*").alias("_k"))
+        .groupBy(*by, "_n", "_cut", "_kept")
+        .agg(F.count("*").alias("_k"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     )
     # Within one cut level the kept values precede the collapsed ones: they sit inside the bracket
     # that opens the level, and the collapsed ones lie above its end.
     w = (
         Window.partitionBy(*by)
-        .orderBy("_cut", F.col("_v").asc_nulls_last())
+        .orderBy("_cut", F.col("_kept").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     ranked = counted.withColumn("_upto", F.sum("_k").over(w))
-    aggs = []
-    for name, p in probs.items():
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        for tag, rank in (("a", F.floor(pos)), ("b", F.ceil(pos))):
-            hit = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_k") <= rank)
-            aggs.append(F.max(F.when(hit, F.coalesce("_v", F.raise_error(F.lit("quantile left its bracket")).cast("double")))).alias(f"_{tag}_{name}"))
-    out = ranked.groupBy(*by).agg(F.max("_n").alias("_n"), *aggs)
+    pos = {name: (F.col("_n") - 1) * F.lit(float(p)) for name, p in probs.items()}
+    wanted = F.array(*[rank(x) for x in pos.values() for rank in (F.floor, F.ceil)])
+    row = F.struct((F.col("_upto") - F.col("_k")).alias("first"), (F.col("_upto") - 1).alias("last"), "_kept", "_least", "_most")
+    held = ranked.select(*by, "_n", row.alias("_row")).where(F.exists(wanted, lambda r: r.between(F.col("_row.first"), F.col("_row.last"))))
+    # at most two rows of a group for each probability
+    out = held.groupBy(*by).agg(F.max("_n").alias("_n"), F.collect_list("_row").alias("_rows"))
+
+    def at(rank: Column) -> Column:
+        held = F.get(F.filter("_rows", lambda x: rank.between(x["first"], x["last"])), 0)
+        ends = F.when(rank == held["first"], held["_least"]).when(rank == held["last"], held["_most"])
+        return F.coalesce(held["_kept"], ends, F.raise_error(F.lit("quantile left its bracket")).cast("double"))
+
     final = []
-    for name, p in probs.items():
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        a, b = F.col(f"_a_{name}"), F.col(f"_b_{name}")
-        final.append((a + (b - a) * (pos - F.floor(pos))).alias(name))
+    for name, x in pos.items():
+        ends = F.array(at(F.floor(x)), at(F.ceil(x)))
+        final.append(F.element_at(F.transform(F.array(ends), lambda e: e[0] + (e[1] - e[0]) * (x - F.floor(x))), 1).alias(name))
     return out.select(*by, *final)
 
 

@@ -75,7 +75,7 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (key % len(values) + 1).cast("int"))
 
     return o.join(c, u == F.col("c_custkey")).select(
-        F.concat(F.lit("CLI-"), F.lpad((k % 10_000_000).cast("string"), 7, "0")).alias("cliente_id"),
+        F.concat(F.lit("CLI-"), F.lpad(k.cast("string"), F.greatest(F.lit(7), F.length(k.cast("string"))), F.lit("0"))).alias("cliente_id"),
         pick(["4", "9", "10", "6", "68"], u).alias("tipo_credito"),
         F.date_format("o_orderdate", "d/MM/yyyy HH:mm").alias("fecha_prestamo"),
         (F.bround(F.col("o_totalprice") * 100).cast("long") % 5_000_000 + 360_000).alias("capital_prestado"),
@@ -106,7 +106,7 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RAW_LOANS_SQL = """raw_loans AS (
-  SELECT 'CLI-' || lpad(CAST(o_orderkey % 10000000 AS VARCHAR), 7, '0') AS cliente_id,
+  SELECT 'CLI-' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(7, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS cliente_id,
     list_extract(['4','9','10','6','68'], CAST(o_custkey % 5 + 1 AS INT)) AS tipo_credito,
     o_orderdate AS fecha_prestamo,
     CAST(round(o_totalprice * 100) AS BIGINT) % 5000000 + 360000 AS capital_prestado,

@@ -128,8 +128,8 @@ def test_threshold_is_a_quantile_and_flags_ties(frame):
     assert evaluate.flag_top_share(df, "s", 0.157).where("flagged").count() == 50
 
 
-@pytest.mark.parametrize("small", [10, 10**9])
-def test_exact_quantiles(frame, small):
+@pytest.mark.parametrize("accuracy", [200, 10_000])
+def test_exact_quantiles(frame, accuracy):
     rng = np.random.default_rng(2)
     x = rng.lognormal(size=5000)
     x[:50] = np.nan
@@ -137,17 +137,32 @@ def test_exact_quantiles(frame, small):
     rows = [(float(v), None if i % 4 else float(i), str(i % 3)) for i, v in enumerate(x)]
     df = frame(rows, "x double, z double, g string")
     probs = [0.0, 0.01, 0.25, 0.5, 0.501, 0.99, 1.0]
-    got = exact_quantiles(df, ["x", "z"], probs, accuracy=200, small=small)
+    got = exact_quantiles(df, ["x", "z"], probs, accuracy)
+    assert exact_quantiles(df, ["x", "z"], probs, accuracy=200, bracket_rows=5) == got  # brackets are sketched again inside
     fin = x[np.isfinite(x)]
     assert got["x"] == pytest.approx(list(np.quantile(fin, probs)))
     assert got["z"] == pytest.approx(list(np.quantile(np.arange(0, 5000, 4), probs)))
     assert exact_quantiles(df.where("g = 'none'"), ["x"], [0.5]) == {"x": [None]}
-    groups = grouped_quantiles(df, ["g"], "x", {"hi": 0.95, "lo": 0.05, "mid": 0.5}, accuracy=200, small=small).collect()
+    groups = grouped_quantiles(df, ["g"], "x", {"hi": 0.95, "lo": 0.05, "mid": 0.5}, accuracy=accuracy).collect()
     for r in groups:
         mine = np.array([v for v, _, k in rows if k == r.g and np.isfinite(v)])
         assert [r.lo, r.mid, r.hi] == pytest.approx(list(np.quantile(mine, [0.05, 0.5, 0.95])))
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 3000])
+def test_exact_quantiles_of_small_skewed_and_repeated_values(frame, n):
+    rng = np.random.default_rng(n)
+    columns = [rng.pareto(0.5, n), np.where(rng.random(n) < 0.4, 7.0, rng.random(n) * 100), rng.integers(0, 3, n).astype(float)]
+    df = frame([tuple(map(float, r)) for r in zip(*columns)], "a double, b double, c double")
+    probs = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.9, 1.0]
+    for rows in (2, 10**6):
+        got = exact_quantiles(df, ["a", "b", "c"], probs, accuracy=500, bracket_rows=rows)
+        for name, x in zip("abc", columns):
+            assert got[name] == pytest.approx(list(np.quantile(x, probs)))
+            row = grouped_quantiles(df, [], name, {f"p{i}": p for i, p in enumerate(probs)}, accuracy=500).first() if rows == 2 else None
+            assert row is None or list(row) == pytest.approx(list(np.quantile(x, probs)))
+
+
 def test_no_stage_gathers_the_rows_in_one_task(frame):
     df = table(frame, range(100), [i % 2 for i in range(100)])
     plan = ranking.cumulative_counts(df, "s", "y")._jdf.queryExecution().executedPlan().toString()
