@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.columns import finite
 from plumbline.operators import association, planning, profile, ranking, resampling
+from plumbline.operators.quantiles import exact_quantiles
 from plumbline.plans.book import BOOK_KEY, book, table, with_book
 from plumbline.plans.preparation import WILSON
 from plumbline.plans.registry import query
@@ -336,10 +338,15 @@ def univariate_auc(spark, d):
 
 @query("univariate_audit")
 def univariate_audit(spark, d):
-    """Univariate AUC with bootstrap intervals for every numeric column in one resampling job."""
-    b = book(spark, d).select(*KEY, "defaulted", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in NUMERIC])
-    long = profile.long_values(b, NUMERIC, [*KEY, "defaulted"])
-    return resampling.bootstrap_ci(long, "value", "defaulted", KEY, ("roc_auc",), 50, 0, ["column"])
+    """One row per numeric column: univariate AUC with its bootstrap interval, direction, share of missing and years of the same sign.
+    Gaps are filled with the median in both."""
+    b = book(spark, d).withColumn("year", F.substring("month", 1, 4))
+    median = exact_quantiles(b, NUMERIC, [0.5])
+    filled = b.select(*KEY, "defaulted", *[F.coalesce(finite(c), F.lit(median[c][0])).alias(c) for c in NUMERIC])
+    long = profile.long_values(filled, NUMERIC, [*KEY, "defaulted"])
+    intervals = resampling.bootstrap_ci(long, "value", "defaulted", KEY, ("roc_auc",), 50, 0, ["column"])
+    audit = association.univariate_auc(b, NUMERIC, "defaulted", "year")
+    return intervals.join(audit.select("column", "missing", "months", "months_same_sign", "direction", "strength"), "column")
 
 
 @query("level_rates", with_book("WITH g AS (" + union_sql(["segment", "status"], "SELECT '{c}' AS \"column\", {c} AS level, count(*) AS n, avg(defaulted) AS rate FROM book GROUP BY 2") + ") SELECT \"column\", level, n, round(rate, 6) AS rate FROM g"))
