@@ -11,18 +11,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BROADCAST_ROWS, checked_broadcast, slices, stored, words_of
+from plumbline.llm.common import BROADCAST_ROWS, checked_broadcast, columns_of, free_name, slices, stored, words_of
 
-#: Kneser-Ney discount; least likelihood-ratio statistic of an expression that the pruned models keep (0.1 % of a chi-square).
-DISCOUNT, KEEP = 0.75, 10.83
+#: Kneser-Ney discount, and the odds, before anything is counted, that an expression differs between the classes.
+DISCOUNT, EVIDENCE = 0.75, 0.1
 #: Words of a window, and the score from which a document counts as toxic.
 WINDOW, THRESHOLD = 32, 0.3
 #: Lengths of the beginnings that a rare word backs off to, the longest first.
 STEMS = (6, 5, 4)
 #: Words a task remembers.
 REMEMBERED = 500_000
-#: Words, and pairs of them, that the pruned models have at most.
-MODEL_ROWS = 1_000_000
 _MARKS = ".,;:!?\"()[]|*"
 
 
@@ -44,13 +42,6 @@ def fold(doc_id: Column) -> Column:
     return (F.crc32(doc_id.cast("string").cast("binary")) % 4).cast("int")
 
 
-def statistic(a: str, b: str, na: float, nb: float) -> Column:
-    """Log-likelihood ratio statistic of counts a, b out of na, nb against one common rate."""
-    rate = (F.col(a) + F.col(b)) / (na + nb)
-    term = lambda c, n: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * rate))).otherwise(0.0)
-    return 2 * (term(a, na) + term(b, nb))
-
-
 def _counted(labelled: DataFrame, what: Callable[[list[str], int], list], schema: str) -> DataFrame:
     """Rows (expression, toxic, ordinary) of each slice, counted before the shuffle. what gives the expressions of a text."""
 
@@ -75,11 +66,11 @@ def _counted(labelled: DataFrame, what: Callable[[list[str], int], list], schema
 
 
 class Model(NamedTuple):
-    """Kept words with their log-ratio, log-ratios of kept words after a kept word, and the curve from log-ratios to a probability
-    (or one probability for all). Words outside carry no ratio."""
+    """Stored tables (word, ratio) and (before, word, ratio) of the log-ratios of all counted words and pairs, and the curve from
+    log-ratios to a probability (or one probability for all). A word outside has the ratio of its longest counted beginning, else none."""
 
-    words: dict[str, float]
-    pairs: dict[tuple[str, str], float]
+    words: DataFrame | None
+    pairs: DataFrame | None
     weights: tuple[float, float, float]
     constant: float | None
 
@@ -111,105 +102,127 @@ class Ratios(dict):
 def text_features(text: str, words: Ratios, pairs: dict[tuple[str, str], float]) -> tuple[float, float]:
     ws = tokens(text)
     r = [words[w] for w in ws]
-    if not any(r):
-        return 0.0, 0.0
     for i in range(1, len(ws)):
-        if r[i] and r[i - 1]:
-            r[i] = pairs.get((ws[i - 1], ws[i]), r[i])
+        r[i] = pairs.get((ws[i - 1], ws[i]), r[i])
     return features(np.array(r))
 
 
-def text_score(text: str, words: Ratios, pairs: dict, weights: tuple, constant: float | None) -> float:
-    if constant is not None:
-        return constant
-    c, a, b = weights
-    strongest, mean = text_features(text, words, pairs)
-    return 1 / (1 + math.exp(-max(-500.0, min(500.0, c + a * strongest + b * mean))))
-
-
-def fit_words(labelled: DataFrame) -> DataFrame:
-    """(word, ratio, statistic) of the kept words: those whose document counts, and then whose continuation counts, differ between the classes by
-    more than chance. All labelled rows are counted; copies of a passage add no continuation, as the word before stays the same."""
-    spark = labelled.sparkSession
-    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
-    if len(sizes) < 2:
-        return spark.createDataFrame([], "word string, ratio double, statistic double")
-    by_word = stored(_counted(labelled, lambda ws: {e for w in set(ws) for e in expressions(w)}, "word string, toxic long, ordinary long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "words")
-    types = by_word.where("word NOT LIKE '%*'").agg(F.sum((F.col("toxic") > 0).cast("long")), F.sum((F.col("ordinary") > 0).cast("long"))).first()
-    likely = stored(by_word.where(statistic("toxic", "ordinary", sizes[1], sizes[0]) >= KEEP).select("word"), "likely")
-    # distinct pairs in each class and in both: sketches that merge, of a fixed size
-    pairs = labelled.select("toxic", F.explode(F.expr("""
-        transform(array(split(lower(text), '[\\\\s.,;:!?"()\\\\[\\\\]|*]+')), w -> transform(sequence(1, greatest(size(w) - 1, 1)), i -> xxhash64(get(w, i - 1), get(w, i))))[0]""")).alias("h"))
-    count = lambda cond: F.approx_count_distinct(F.when(cond, F.col("h")), 0.01)
-    contexts = pairs.agg(count(F.col("toxic") == 1), count(F.col("toxic") == 0), count(F.lit(True))).first()
-    model = {"contexts": max(1, contexts[2]), "class_contexts": (max(1, contexts[1]), max(1, contexts[0])), "types": (types[1], types[0])}
-
-    schema = "before string, word string, toxic long, ordinary long"
-    if likely.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        held = spark.sparkContext.broadcast({r["word"] for r in likely.toLocalIterator()})  # at most BROADCAST_ROWS words
-
-        def before(ws: list[str]) -> set:
-            kept = held.value
-            return {(a, e) for a, b in set(zip(["", *ws], ws)) for e in expressions(b) if e in kept}
-
-        found = _counted(labelled, before, schema)
-    else:
-        found = _counted(labelled, lambda ws: {(a, e) for a, b in set(zip(["", *ws], ws)) for e in expressions(b)}, schema).join(likely, "word", "left_semi")
-    context = found.groupBy("word", "before").agg((F.sum("toxic") > 0).cast("long").alias("t"), (F.sum("ordinary") > 0).cast("long").alias("o"))
-    by = context.groupBy("word").agg(F.sum("t").alias("toxic"), F.sum("o").alias("ordinary"), F.count("*").alias("total"))
-    shared = F.col("total") / model["contexts"]
-    p = [(F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + DISCOUNT * model["types"][k] * shared) / model["class_contexts"][k] for k, c in ((1, "toxic"), (0, "ordinary"))]
-    told = by.withColumn("statistic", statistic("toxic", "ordinary", float(model["class_contexts"][1]), float(model["class_contexts"][0])))
-    return told.where(F.col("statistic") >= KEEP).select("word", (F.log(p[0]) - F.log(p[1])).alias("ratio"), "statistic")
-
-
-def fit_pairs(labelled: DataFrame, words: dict[str, float]) -> dict[tuple[str, str], float]:
-    """Log-ratios of kept words after kept words: discounted counts of each class, backed off to the word's own ratio."""
-    held = labelled.sparkSession.sparkContext.broadcast(words)
-
-    def near(ws: list[str]) -> set:
-        kept = held.value
-        return {(a, b) for a, b in zip(ws, ws[1:]) if a in kept and b in kept}
-
-    found = _counted(labelled, near, "before string, word string, toxic long, ordinary long").groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    total = found.groupBy("before").agg(F.sum("toxic").alias("nt"), F.sum("ordinary").alias("no"), F.sum((F.col("toxic") > 0).cast("long")).alias("tt"), F.sum((F.col("ordinary") > 0).cast("long")).alias("to"))
-    seen = stored(found.join(total, "before").withColumn("seen", F.col("toxic") + F.col("ordinary")).where("seen >= 5"), "pairs")
-    out = {}
-    for r in pruned(seen, "seen", MODEL_ROWS).collect():
-        # backing off, a word's share is split between the classes by its ratio
-        low = {1: 1 / (1 + math.exp(-words[r["word"]])), 0: 1 / (1 + math.exp(words[r["word"]]))}
-        p = {k: (max(c - DISCOUNT, 0) + DISCOUNT * max(t, 1) * low[k]) / max(n, 1) for k, c, n, t in ((1, r["toxic"], r["nt"], r["tt"]), (0, r["ordinary"], r["no"], r["to"]))}
-        out[r["before"], r["word"]] = math.log(p[1]) - math.log(p[0])
-    return out
-
-
-def _featured(labelled: DataFrame, words: dict, pairs: dict) -> DataFrame:
-    """(toxic, strongest, mean) of every row in place."""
-    held = labelled.sparkSession.sparkContext.broadcast((words, pairs))
+def fit_models(labelled: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Tables of the log-ratios of words (and their beginnings) and of pairs; none without rows of both classes. All words and pairs of
+    all labelled rows stand in them."""
+    if labelled.select("toxic").distinct().count() < 2:
+        return None
+    counted = _counted(labelled, lambda ws: set(zip(["", *ws], ws)), "before string, word string, toxic long, ordinary long")
+    pairs = stored(counted.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "pairs")
+    words = stored(fit_words(pairs), "words")
+    return words, stored(fit_pairs(pairs, words), "pair-ratios")
+
+
+def _ratio(toxic: Column, ordinary: Column, prior: float, back: Column) -> Column:
+    """Log-ratio of an expression between the classes. What the discount takes from its counts is split by the log-ratio it backs off to,
+    and the way from there to its own ratio is gone as far as the counts make a difference probable (a likelihood ratio against BIC and
+    odds of EVIDENCE): no expression is left out, and what differs by chance moves little. prior is the log-ratio of the class sizes."""
+    taken = DISCOUNT * ((toxic > 0).cast("int") + (ordinary > 0).cast("int"))
+    shares = 1 / (1 + F.exp(-(F.lit(prior) + back))), 1 / (1 + F.exp(F.lit(prior) + back))
+    kept = lambda c: F.greatest(c - DISCOUNT, F.lit(0.0))
+    own = F.log(kept(toxic) + taken * shares[0]) - F.log(kept(ordinary) + taken * shares[1]) - F.lit(prior)
+    n = toxic + ordinary
+    term = lambda c, share: F.when(c > 0, c * F.log(c / (n * share))).otherwise(0.0)
+    differs = 1 / (1 + F.sqrt(n) * F.exp(-(term(toxic, shares[0]) + term(ordinary, shares[1]))) / EVIDENCE)
+    return back + differs * (own - back)
+
+
+def _prior(counts: DataFrame) -> float:
+    t, o = counts.agg(F.sum("toxic"), F.sum("ordinary")).first()
+    return math.log(max(t or 0, 1) / max(o or 0, 1))
+
+
+def fit_words(pairs: DataFrame) -> DataFrame:
+    """(word, ratio) of every word and beginning, from its continuation counts: copies of a passage add none, as the word before stays
+    the same."""
+    t, o = ((F.col(c) > 0).cast("long") for c in ("toxic", "ordinary"))
+    plain = stored(pairs.groupBy("word").agg(F.sum(t).alias("toxic"), F.sum(o).alias("ordinary")), "continuations")
+    # a beginning continues where its words do
+    starts = plain.select(F.explode(F.array_compact(F.array(*[F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS]))).alias("word"), "toxic", "ordinary")
+    by = plain.union(starts).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    return by.select("word", _ratio(F.col("toxic"), F.col("ordinary"), _prior(plain), F.lit(0.0)).alias("ratio"))
+
+
+def fit_pairs(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """(before, word, ratio) of every pair, from the documents that hold it, backed off to the word's own ratio."""
+    pairs = pairs.where("before <> ''")
+    joined = pairs.join(checked_broadcast(words.withColumnRenamed("ratio", "back")), "word")
+    return joined.select("before", "word", _ratio(F.col("toxic"), F.col("ordinary"), _prior(pairs), F.col("back")).alias("ratio"))
+
+
+def featured(docs: DataFrame, words: DataFrame, pairs: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of docs with strongest and mean in place of text. Tables of up to so many rows travel to the tasks; else the places of a
+    text are joined with them, with the same result. A null text counts as empty."""
+    if words.limit(most + 1).count() <= most and pairs.limit(most + 1).count() <= most:
+        return _featured_in_place(docs, words, pairs)
+    return _featured_by_join(docs, words, pairs)
+
+
+def _other(docs: DataFrame) -> tuple[list[str], str]:
+    names = [c for c in docs.columns if c != "text"]
+    return names, "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in names)
+
+
+def _featured_in_place(docs: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
+    names, schema = _other(docs)
+    held = docs.sparkSession.sparkContext.broadcast(({r[0]: r[1] for r in words.toLocalIterator()}, {(r[0], r[1]): r[2] for r in pairs.toLocalIterator()}))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = Ratios(held.value[0]), held.value[1]
         for batch in batches:
-            label = batch.column(batch.schema.get_field_index("toxic"))
+            cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
             for first, texts in slices(batch):
                 got = np.array([text_features(t, words, pairs) for t in texts]).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([label.slice(first, len(texts)), pa.array(got[:, 0]), pa.array(got[:, 1])], ["toxic", "strongest", "mean"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, len(texts)) for c in cols), pa.array(got[:, 0]), pa.array(got[:, 1])], [*names, "strongest", "mean"])
 
-    return labelled.select("toxic", "text").mapInArrow(rows, "toxic int, strongest double, mean double")
+    return docs.mapInArrow(rows, schema + "strongest double, mean double")
 
 
-def pruned(table: DataFrame, statistic: str, rows: int) -> DataFrame:
-    """The rows with the highest statistic, about so many at most: the size that a pruned model is given."""
-    n = table.count()
-    if n <= rows:
-        return table
-    least = table.approxQuantile(statistic, [1 - 0.9 * rows / n], 0.05 * rows / n)[0]
-    return table.where(F.col(statistic) > least)
+def _featured_by_join(docs: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
+    names, schema = _other(docs)
 
+    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(list({w for t in texts for w in tokens(t)}), pa.string())], ["word"])
+
+    asked = docs.select("text").mapInArrow(vocabulary, "word string").distinct()
+    known = words.select(F.col("word").alias("_word"), "ratio")
+    for i, e in enumerate([F.col("word"), *[F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS]]):
+        asked = asked.withColumn("_e", e).join(known.withColumnRenamed("ratio", f"r{i}"), F.col("_e") == F.col("_word"), "left").drop("_e", "_word")
+    ratios = stored(asked.select(F.xxhash64("word").alias("_w"), F.coalesce(*[F.col(f"r{i}") for i in range(len(STEMS) + 1)]).alias("_alone")), "asked")
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(batch.schema.get_field_index(c)) for c in [*names, "_row"]]
+            for first, texts in slices(batch):
+                per_text = [tokens(t) or [None] for t in texts]  # an empty text has one place without a word
+                counts = np.fromiter(map(len, per_text), np.int64, len(per_text))
+                at = pa.array(np.repeat(np.arange(first, first + len(texts)), counts))
+                place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+                flat = [w for ws in per_text for w in ws]
+                before = [w for ws in per_text for w in ("", *ws[:-1])]
+                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in cols), pa.array(place, pa.int32()), pa.array(before, pa.string()), pa.array(flat, pa.string())], [*names, "_row", "_place", "_before", "_token"])
+
+    told = (docs.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(places, schema + "_row long, _place int, _before string, _token string")
+            .select(*names, "_row", "_place", F.when(F.col("_token").isNotNull(), F.xxhash64("_before", "_token")).alias("_p"), F.when(F.col("_token").isNotNull(), F.xxhash64("_token")).alias("_w")))
+    paired = stored(pairs.select(F.xxhash64("before", "word").alias("_p"), F.col("ratio").alias("_paired")), "hashed-pairs")
+    told = told.join(checked_broadcast(paired), "_p", "left").join(checked_broadcast(ratios), "_w", "left")
+    ratio = F.when(F.col("_w").isNotNull(), F.coalesce("_paired", "_alone", F.lit(0.0)))
+    grouped = told.groupBy("_row", *names).agg(F.collect_list(F.when(ratio.isNotNull(), F.struct("_place", ratio.alias("_ratio")))).alias("_all"))
+    ready = grouped.select(*names, F.expr("transform(array_sort(_all), x -> x._ratio)").alias("_all"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = np.array([features(x.values.to_numpy()) for x in batch.column(batch.schema.get_field_index("_all"))]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(got[:, 0]), pa.array(got[:, 1])], [*names, "strongest", "mean"])
 
-def fit_models(labelled: DataFrame) -> tuple[dict[str, float], dict[tuple[str, str], float]]:
-    words = {r["word"]: r["ratio"] for r in pruned(stored(fit_words(labelled), "kept"), "statistic", MODEL_ROWS).collect()}
-    return words, fit_pairs(labelled, words) if words else {}
+    return ready.mapInArrow(rows, schema + "strongest double, mean double")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -221,37 +234,36 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     y = stored(y, "toxic-labels")
     joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").join(checked_broadcast(y), F.col("doc_id") == F.col("_id"))
     first, third = (joined.where(c).select("text", "toxic") for c in (fold(F.col("doc_id")) != 3, fold(F.col("doc_id")) == 3))
-    words, pairs = fit_models(first)
-    held = stored(_featured(third, words, pairs), "calibration")
+    tables = fit_models(first)
+    held = stored(featured(third, *tables), "calibration") if tables else third
     n, toxic = held.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     weights = (math.log(0.1), float(WINDOW) / 2, 0.0)
-    if words and 0 < toxic < n:
+    if tables and 0 < toxic < n:
         from pyspark.ml.classification import LogisticRegression
         from pyspark.ml.feature import VectorAssembler
 
         ready = VectorAssembler(inputCols=["strongest", "mean"], outputCol="x").transform(held)
         curve = LogisticRegression(featuresCol="x", labelCol="toxic", regParam=1e-3, maxIter=100).fit(ready)
         weights = (float(curve.intercept), *map(float, curve.coefficients))
-    words, pairs = fit_models(joined.select("text", "toxic"))
-    if not words:
+    tables = fit_models(joined.select("text", "toxic"))
+    if not tables:
         share = joined.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
-        return Model({}, {}, (0.0, 0.0, 0.0), float(share))
-    return Model(words, pairs, weights, None)
+        return Model(None, None, (0.0, 0.0, 0.0), float(share))
+    return Model(*tables, weights, None)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row in place. Every text is scored whole; a null text counts as empty and has the score of a text
-    without marked words."""
-    held = docs.sparkSession.sparkContext.broadcast(tuple(model))
+def scored(docs: DataFrame, model: Model, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of docs with a score in place of text. Every text is scored whole; a null text counts as empty."""
+    if model.constant is not None:
+        return docs.drop("text").withColumn("score", F.lit(model.constant))
+    c, a, b = model.weights
+    z = F.lit(c) + a * F.col("strongest") + b * F.col("mean")
+    return featured(docs, model.words, model.pairs, most).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))).drop("strongest", "mean")
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, rest = Ratios(held.value[0]), held.value[1:]
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
-            for first, texts in slices(batch):
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(texts)), pa.array([text_score(t, words, *rest) for t in texts], pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, score double")
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score) of every row."""
+    return scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -265,12 +277,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, columns as given. Decisions are made by text, so equal texts stay or go together."""
     model = fit(docs, labels)
-    held = docs.sparkSession.sparkContext.broadcast(tuple(model))
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, rest = Ratios(held.value[0]), held.value[1:]
-        for batch in batches:
-            keep = [text_score(t, words, *rest) < THRESHOLD for _, texts in slices(batch) for t in texts]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(clean, docs.schema)
+    name = free_name(docs, "_print")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    mark = F.concat_ws("/", F.xxhash64(text), F.xxhash64(F.lit(1), text), F.length(text))
+    toxic = stored(scored(docs.select("text", mark.alias(name)), model).where(F.col("score") >= THRESHOLD).select(name).distinct(), "toxic-texts")
+    return docs.withColumn(name, mark).join(checked_broadcast(toxic), name, "left_anti").select(*columns_of(docs))

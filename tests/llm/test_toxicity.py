@@ -69,3 +69,22 @@ def test_clean_documents_stay(spark, tables):
 def test_beginnings_stand_in_for_rare_words():
     r = toxicity.Ratios({"grump*": 2.0, "grumpfax": 3.0})
     assert (r["grumpfax"], r["grumpfzz"], r["grump"], r["other"]) == (3.0, 2.0, 0.0, 0.0)
+
+
+def test_a_fixed_phrase_and_rare_words_carry_ratios(spark):
+    rng = random.Random(4)
+    vocab = ["w%d" % i for i in range(300)]
+    rows = [(" ".join([*(a := [rng.choice(vocab) for _ in range(40)])[:20], *(["rotten", "old", "grumbler"] if i % 5 == 0 else ["an", "old", "house"]), *a[20:]]), int(i % 5 == 0)) for i in range(300)]
+    rows.append(("seldomfiend " + rows[1][0], 1))
+    words, pairs = toxicity.fit_models(spark.createDataFrame(rows, "text string, toxic int"))
+    # each inner word always follows the same word: no more than one continuation, but a pair of its own
+    ratio = {(r.before, r.word): r.ratio for r in pairs.collect()}
+    assert ratio["rotten", "old"] > 2 > -2 > ratio["an", "old"]
+    assert {r.word: r.ratio for r in words.collect()}["seldomfiend"] > 0
+
+
+def test_joined_models_score_as_those_that_travel(spark, tables):
+    _, _, docs, labels = tables
+    model = toxicity.fit(docs, labels)
+    a, b = (sorted((r.doc_id or -1, round(r.score, 9)) for r in toxicity.scored(docs.select("doc_id", "text"), model, most).collect()) for most in (10**6, 10))
+    assert a == b and len(a) == docs.count()
