@@ -13,6 +13,8 @@ from plumbline.llm.common import WORD, checked_broadcast, columns_of, free_name,
 
 #: Words of a block, of a shard, and how often a source may be repeated.
 BLOCK_WORDS, SHARD_WORDS, MOST_EPOCHS = 64, 262_144, 3
+#: Blocks that a source has at least in each of its shards, as far as it has so many: what rounding to blocks may cost it.
+LEAST_BLOCKS = 32
 
 
 def word_count(text: Column) -> Column:
@@ -64,7 +66,9 @@ def mix_shard(pdf: pd.DataFrame, block_words: int, most_epochs: int, seed: int)
     first = np.unique(codes, return_index=True)[1]
     wanted = pdf["ratio"].to_numpy(float)[first] * words
     blocks = np.where(words > 0, np.maximum(1, np.round(words / block_words)), 0).astype(np.int64)
-    q = quotas(wanted, blocks, min(int(round(wanted.sum() / block_words)), int(blocks.sum()) * most_epochs), most_epochs)
+    # a seat is a block of the source's own size
+    seats = wanted * blocks / np.maximum(words, 1)
+    q = quotas(seats, blocks, min(int(round(seats.sum())), int(blocks.sum()) * most_epochs), most_epochs)
     ends = np.cumsum(size) - np.repeat(np.r_[0, np.cumsum(words)[:-1]], np.bincount(codes, minlength=len(names)))
     taken = np.zeros(len(pdf), np.int64)
     for s in np.flatnonzero(q):
@@ -86,8 +90,9 @@ def mix_shard(pdf: pd.DataFrame, block_words: int, most_epochs: int, seed: int)
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, most_epochs: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, shard) for every document.
 
-    Documents are dealt to shards of about shard_words words by a seeded hash of id and text length, so a source of any share is
-    spread over all shards and a rerun gives the same rows. In a shard, blocks of about block_words words are apportioned to the
+    Documents are dealt to shards of about shard_words words by a seeded hash of id and text, so a rerun gives the same rows. A source
+    is spread over as many shards as it has LEAST_BLOCKS blocks for, from a shard that a hash of its name gives: a small source sits
+    whole in few shards, where blocks of its own size meet its target. In a shard, blocks of about block_words words are apportioned to the
     sources by highest quotients. A null or empty text has size 0 and gives 0 words; a null source is a source of its own;
     repeated rows are documents of their own; an empty table gives no rows. No document gives more than most_epochs times its size.
     """
@@ -102,7 +107,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), block_words: int
               .withColumn("ratio", ratio)
               # a row number keeps copies of one document apart
               .withColumn("deal", F.xxhash64(F.lit(seed), "doc_id", "print"))
-              .withColumn("shard", F.pmod(F.xxhash64("deal", F.lit(1)), F.lit(shards))))
+              .withColumn("_spread", F.greatest(F.lit(1), F.least(F.lit(shards), F.floor(F.col("source_size") / (LEAST_BLOCKS * block_words)))))
+              .withColumn("shard", F.pmod(F.pmod(F.xxhash64("source_key"), F.lit(shards)) + F.pmod(F.xxhash64("deal", F.lit(1)), F.col("_spread")), F.lit(shards))))
     out = "doc_id long, source string, size long, source_size long, target double, ratio double, source_key string, deal long, shard long, taken long"
     cols = [c.split()[0] for c in out.split(", ")][:-1]
     mixed = joined.select(*cols).groupBy("shard").applyInPandas(lambda pdf: mix_shard(pdf, block_words, most_epochs, seed), out)

@@ -74,3 +74,16 @@ def test_documents_stand_as_often_as_they_are_taken(edges, edge_rows):
     for (i, t), k in n.items():
         assert k <= 3 * sum(r[:2] == (i, t) for r in edge_rows)
     assert abs(sum(n.values()) - sum(times.values())) <= 2
+
+
+def test_small_sources_meet_their_targets_over_many_shards(spark):
+    rows = [(i, " ".join(["w"] * 200), "abcd"[i % 4] + "-large") for i in range(400)]
+    # one short text to a shard, and sources smaller than a block
+    rows += [(1000 + i, " ".join(["s"] * 10), "small") for i in range(60)] + [(2000, "t " * 10, "tiny"), (2001, "u " * 20, "ultra"), (2002, "v " * 40, "very")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), shard_words=2000).collect()
+    target, taken = {r.source: r.target for r in got}, Counter()
+    for r in got:
+        taken[r.source] += r.taken
+    assert len({r.shard for r in got}) > 20
+    assert all(abs(taken[s] - target[s]) <= 0.1 * target[s] for s in ("small", "tiny", "ultra", "very")), (taken, target)
+    assert all(abs(taken[s] - target[s]) <= 0.1 * target[s] for s in target)
