@@ -10,8 +10,9 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-#: Elements whose content is no text of the page.
-RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "select", "button", "canvas", "video", "audio")
+#: Elements whose content is no text of the page: those that hold no tags, and others.
+PLAIN = ("script", "style", "title", "textarea")
+RAW = ("noscript", "template", "iframe", "svg", "annotation-xml", "annotation", "object", "select", "button", "canvas", "video", "audio")
 #: Elements that hold blocks; those that mark their content as surroundings, and those that mark it as the article.
 HOLDERS = frozenset("body main article section div nav header footer aside form ul ol dl table menu dialog figure details blockquote fieldset".split())
 SURROUND = frozenset("nav footer aside form menu dialog".split())
@@ -27,7 +28,13 @@ ARTICLE_NAMES = frozenset("article content post entry story body main text".spli
 
 FEATURES = ["surround", "header", "article", "page_has_article", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after"]
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(" + "|".join(RAW) + r")\b(?>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:/>|>.*?(?:</\1\s*>|\Z))", re.S | re.I)
+_ATTRIBUTES = r"(?![\w-])(?>(?:[^>\"'/]++|/(?!>)|\"[^\"]*+\"|'[^']*+')*+)"
+#: A plain element that closes itself still has content if its closing tag comes before the next one of its name. Another one without a
+#: closing tag ends at the next block.
+_DROPPED = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(" + "|".join(PLAIN) + r")" + _ATTRIBUTES + r"(?:/>(?!(?:(?!<\1(?![\w-])).)*?</\1\s*>)|/?>.*?(?:</\1\s*>|\Z))"
+    r"|<(" + "|".join(RAW) + r")" + _ATTRIBUTES + r"(?:/>|>(?:(?:(?!<\2(?![\w-])).)*?</\2\s*>|.*?(?=<\2(?![\w-])|</?(?:" + "|".join(sorted(BLOCKS - {"option"})) + r")(?![\w-])|\Z)))", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*\Z")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _HIDDEN = re.compile(r"\bhidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)

@@ -42,3 +42,15 @@ def test_pages_in_tables(spark, tree):
     assert {(r.page_id, r.url): r.text[:5] for r in got} == {(1, "u"): "A & B", (2, None): "", (None, "v"): "Hi", (3, "w"): "word "}
     assert max(r.n_chars for r in got) == 20000 * 21 - 2 + 0 * len(big) - 0 or max(r.n_chars for r in got) == 20000 * len("word and word again") + 2 * 19999
     assert maintext.extract(spark.createDataFrame([], schema), tree).collect() == []
+
+
+@pytest.mark.parametrize("odd", ["<svg viewBox='0 0 1 1'/>", "<svg a=b />", "<math/>", '<script src="x"/>', "<object/>", "<video src=/v.mp4 />", "<button>", "<select><option>", "<canvas>", "<noscript>", "<audio>"])
+def test_elements_that_close_themselves_or_are_never_closed(tree, odd):
+    page = f"<article><p>One two three.</p><p>Four {odd}</p><p>Five six seven.</p></article>"
+    assert maintext.main_text(page, tree) == "One two three.\n\nFour\n\nFive six seven."
+    assert maintext.main_text(page + "<footer><button>x</button><svg>y</svg><script>z</script></footer>", tree) == "One two three.\n\nFour\n\nFive six seven."
+
+
+def test_formulas_stay_and_closed_elements_go(tree):
+    page = "<article><p>One two <math><mi>a</mi><mo>=</mo><mi>b</mi><annotation encoding='x'>a=b</annotation></math> three.</p><noscript><div>no</div></noscript><script src=/a/>no</script><p>End of it.</article>"
+    assert maintext.main_text(page, tree) == "One two a=b three.\n\nEnd of it."
