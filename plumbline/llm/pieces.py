@@ -15,8 +15,8 @@ from plumbline.llm.common import gathered, mixed, offsets, slices
 
 #: The mark that stands for a blank in pieces.
 MARK = "\u2581"
-#: Share of candidate merges that are skipped, and seeded ways to segment that documents are dealt to.
-DROPOUT, VARIANTS = 0.1, 4
+#: Share of candidate merges that are skipped, and seeds that documents are dealt to.
+DROPOUT, VARIANTS = 0.1, (1 << 31) - 1
 #: Units a task remembers, and the longest one that numpy segments in rows.
 CACHED_UNITS, LONGEST_ROW = 800_000, 64
 _NONE = np.int32(1 << 30)
@@ -200,16 +200,17 @@ def segment(v: Vocabulary, units: list[str], keys: np.ndarray, dropout: float) -
 
 
 class Encoder:
-    """Ids of texts. No piece crosses the start of a run of blanks or a line feed, so the units between them are segmented apart;
-    a unit's key is a hash of the seed, the document's variant and the unit, so a unit is segmented once for each variant."""
+    """Ids of texts. No piece crosses the start of a run of blanks or a line feed, so the units between them are segmented apart.
+    The key of a unit is a hash of the seed, the document's variant, the unit and its place in the text, so each occurrence skips merges
+    of its own; without dropout a unit is segmented once."""
 
     def __init__(self, model_file: str, seed: int = 7, dropout: float = DROPOUT, variants: int = VARIANTS, cached: int = CACHED_UNITS):
-        self.v, self.seed, self.dropout, self.variants, self.cached = Vocabulary(model_file), seed, dropout, variants if dropout else 1, cached
+        self.v, self.seed, self.dropout, self.variants, self.cached = Vocabulary(model_file), seed, dropout, variants, cached
         self._clear()
 
     def _clear(self) -> None:
-        self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
-        self.n, self.flat = 0, np.empty(0, np.int32)
+        self.known: dict[str, int] = {}
+        self.flat = np.empty(0, np.int32)
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
     @staticmethod
@@ -242,36 +243,35 @@ class Encoder:
                     out.append(blanks)
         return out
 
-    def key(self, variant: int, unit_hashes: np.ndarray) -> np.ndarray:
+    def key(self, variant: int | np.ndarray, unit_hashes: np.ndarray, places: int | np.ndarray = 0) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mixed(unit_hashes ^ mixed(np.array([(self.seed * 1_000_003 + variant) & _M], np.uint64)))
+            stream = np.uint64((self.seed * 1_000_003) & _M) + np.atleast_1d(np.asarray(variant)).astype(np.uint64)
+            return mixed(unit_hashes ^ mixed(mixed(stream) + np.atleast_1d(np.asarray(places)).astype(np.uint64) * np.uint64(_C1)))
 
     def encode(self, texts: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has. An empty text has none."""
-        if self.n > self.cached:
-            self._clear()
         per_text = [self.units(t) if t else [] for t in texts]
-        new, keys = [], []
-        for k in range(self.variants):
-            known = self.known[k]
-            fresh = list({u for ws, x in zip(per_text, variants) if x == k for u in ws if u not in known})
-            known.update(zip(fresh, range(self.n, self.n + len(fresh))))
-            self.n += len(fresh)
-            if fresh:
-                new += fresh
-                keys.append(self.key(k, pd.util.hash_array(np.array(fresh, dtype=object), categorize=False)))
-        if new:
-            flat, starts, lengths = segment(self.v, new, np.concatenate(keys), self.dropout)
-            self.starts, self.lengths = np.r_[self.starts, starts + len(self.flat)], np.r_[self.lengths, lengths]
-            self.flat = np.r_[self.flat, flat]
         counts = np.fromiter(map(len, per_text), np.int64, len(per_text))
-        codes = np.empty(int(counts.sum()), np.int64)
-        at = 0
-        for ws, x in zip(per_text, variants.tolist()):
-            codes[at:at + len(ws)] = list(map(self.known[x].__getitem__, ws))
-            at += len(ws)
-        n = self.lengths[codes]
-        return gathered(self.flat, self.starts[codes], n), np.diff(offsets(n)[offsets(counts)])
+        units = [u for ws in per_text for u in ws]
+        if not units:
+            return np.empty(0, np.int32), counts
+        codes, distinct = pd.factorize(np.array(units, dtype=object))
+        hashes = pd.util.hash_array(distinct, categorize=False)
+        if self.dropout:
+            places = np.arange(len(units)) - np.repeat(offsets(counts)[:-1], counts)
+            flat, starts, lengths = segment(self.v, units, self.key(np.repeat(np.asarray(variants), counts), hashes[codes], places), self.dropout)
+        else:
+            if len(self.known) > self.cached:
+                self._clear()
+            fresh = [u for u in distinct.tolist() if u not in self.known]
+            if fresh:
+                self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+                flat, starts, lengths = segment(self.v, fresh, np.zeros(len(fresh), np.uint64), 0.0)
+                self.starts, self.lengths = np.r_[self.starts, starts + len(self.flat)], np.r_[self.lengths, lengths]
+                self.flat = np.r_[self.flat, flat]
+            at = np.fromiter(map(self.known.__getitem__, distinct.tolist()), np.int64, len(distinct))[codes]
+            flat, starts, lengths = self.flat, self.starts[at], self.lengths[at]
+        return gathered(flat, starts, lengths), np.diff(offsets(lengths)[offsets(counts)])
 
 
 def decode(v: Vocabulary, ids: list[int]) -> str:
@@ -285,8 +285,8 @@ def _variant(seed: int, variants: int):
 
 
 def encode_documents(docs: DataFrame, model_file: str, seed: int = 7, dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
-    """(doc_id, variant, ids) for every row, in place. The variant is a keyed hash of doc_id and text, so reruns agree and
-    documents of different variants segment the same word in different ways. A null text counts as empty and has no ids; a null
+    """(doc_id, variant, ids) for every row, in place. The variant is a keyed hash of doc_id and text, so reruns agree; it
+    and the place in the text seed the skips, so that a word is segmented anew wherever it stands. A null text counts as empty and has no ids; a null
     doc_id stays null; repeated rows are encoded alike."""
     return round_trip(docs, model_file, seed, dropout, variants, check=False).select("doc_id", "variant", "ids")
 
@@ -302,7 +302,7 @@ def round_trip(docs: DataFrame, model_file: str, seed: int = 7, dropout: float =
             which = batch.column(batch.schema.get_field_index("variant")).to_numpy()
             for first, texts in slices(batch):
                 part = which[first:first + len(texts)]
-                ids, counts = e.encode(texts, part if e.variants > 1 else np.zeros(len(texts), np.int64))
+                ids, counts = e.encode(texts, part)
                 at = offsets(counts)
                 same = [decode(e.v, ids[at[i]:at[i + 1]].tolist()) == t for i, t in enumerate(texts)] if check else [None] * len(texts)
                 yield pa.RecordBatch.from_arrays(

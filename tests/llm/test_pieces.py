@@ -52,3 +52,20 @@ def test_documents(edges, edge_rows, no_docs):
     back = pieces.decode_documents(pieces.encode_documents(edges, MODEL), MODEL).collect()
     assert sorted((repr(r.doc_id), r.text) for r in back) == sorted((repr(r[0]), r[1] or "") for r in edge_rows)
     assert pieces.round_trip(no_docs, MODEL).collect() == []
+
+
+def test_each_occurrence_of_a_word_has_skips_of_its_own(vocabulary):
+    e = pieces.Encoder(MODEL)
+    text = " ".join(["international"] * 300)
+    ids, counts = e.encode([text, text], np.array([5, 6]))
+    one, two = split(ids, counts)
+    assert one != two and all(pieces.decode(vocabulary, x) == text for x in (one, two))
+    assert split(*e.encode([text], np.array([5])))[0] == one
+    # the ways in which single occurrences are cut
+    ways, word = set(), []
+    for i in one:
+        if vocabulary.pieces[i].startswith(pieces.MARK) and word:
+            ways.add(tuple(word))
+            word = []
+        word.append(i)
+    assert len(ways | {tuple(word)}) > 4
