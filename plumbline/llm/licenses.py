@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import mixed, offsets, shingles, slices
+from plumbline.llm import common
+from plumbline.llm.common import mixed, offsets, slices, words_of
 
 #: Words of a shingle, least containment of a template, probability that a window which holds a template shares a band with it.
 SHINGLE, CONTAINMENT, SURE = 5, 0.8, 0.9999
@@ -35,9 +36,102 @@ TEMPLATES = {
                   "either express or implied.",
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
                "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+               "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+                "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "BSD-2-Clause": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+                    "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
+                    "\"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+                    "PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+           "above copyright notice and this permission notice appear in all copies.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+            "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+            "applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+               "file, You can obtain one at",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+                 "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation "
+               "covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare "
+               "derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so",
 }
 
 
+def _notices() -> dict[str, list[str]]:
+    """Short notices by license: its names after the words that release under it, its identifier line and its address."""
+    version = lambda name, v: [f"{name} {v}", f"{name} version {v}", f"{name} v{v}", f"{name} v {v}"]
+    names = {"MIT": ["mit license"], "Apache-2.0": version("apache license", "2.0"), "ISC": ["isc license"], "Unlicense": ["unlicense"], "Zlib": ["zlib license"], "BSL-1.0": version("boost software license", "1.0"),
+             "BSD-2-Clause": ["bsd 2-clause license", "2-clause bsd license", "simplified bsd license"], "BSD-3-Clause": ["bsd 3-clause license", "3-clause bsd license", "new bsd license", "modified bsd license"],
+             "MPL-2.0": version("mozilla public license", "2.0"), "EPL-2.0": version("eclipse public license", "2.0"), "Artistic-2.0": ["artistic license 2.0"]}
+    for gnu, full, versions in (("GPL", "gnu general public license", ("2", "3")), ("LGPL", "gnu lesser general public license", ("2.1", "3")), ("AGPL", "gnu affero general public license", ("3",))):
+        for v in versions:
+            names[f"{gnu}-{v if '.' in v else v + '.0'}"] = [*version(full, v), *version(full, v + ".0"), f"{gnu.lower()}v{v}", f"gnu {gnu.lower()}v{v}", f"{gnu.lower()}-{v}.0"]
+    parts = {"BY": "attribution", "NC": "noncommercial", "SA": "sharealike", "ND": "noderivatives"}
+    urls = {"Apache-2.0": ["apache.org/licenses/license-2.0"], "MIT": ["opensource.org/licenses/mit"], "MPL-2.0": ["mozilla.org/mpl/2.0"], "Unlicense": ["unlicense.org"]}
+    for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"):
+        for v in ("2.0", "2.5", "3.0", "4.0"):
+            said = "-".join(parts[k] for k in kind.split("-"))
+            full = [f"creative commons {said} {v} {x}".strip() for x in ("", "international", "unported", "generic")]
+            names[f"CC-{kind}-{v}"] = [f"cc {kind.lower()} {v}", f"cc-{kind.lower()} {v}", f"cc-{kind.lower()}-{v}", *full, *[f"{x} license" for x in full]]
+            urls[f"CC-{kind}-{v}"] = [f"creativecommons.org/licenses/{kind.lower()}/{v}"]
+    names["CC0-1.0"], urls["CC0-1.0"] = ["cc0 1.0", "cc0 1.0 universal", "cc0-1.0", "creative commons zero"], ["creativecommons.org/publicdomain/zero/1.0"]
+    lead = [f"{verb} under {the}".strip() for verb in ("licensed", "released", "distributed", "available", "published") for the in ("", "the", "a", "an", "the terms of the")]
+    out = {}
+    for license, said in names.items():
+        ids = [license, f"{license}-only", f"{license}-or-later"] if "GPL" in license else [license]
+        out[f"{license}-notice"] = [f"{a} {b}" for a in lead for b in said] + [f"spdx-license-identifier {i.lower()}" for i in ids] + [f"{h}{u}" for u in urls.get(license, []) for h in ("", "http://", "https://", "http://www.", "https://www.")]
+    return out
+
+
+#: Notices of fewer than ten words, which have to stand word for word.
+NOTICES = _notices()
+_AROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "\u00a9\u00ab\u00bb\u2013\u2014\u2018\u2019\u201c\u201d\u2022\u2026"
+
+
+def plain(text: str) -> tuple[list[str], list[int] | None]:
+    """The lower-case words of a text without the punctuation around them, and the place of each among all words (none if all are
+    left): comment marks and other words of punctuation alone are no words here."""
+    all_words = words_of(text.lower())
+    words = [w.strip(_AROUND) for w in all_words]
+    if "" not in words:
+        return words, None
+    at = [i for i, w in enumerate(words) if w]
+    return [words[i] for i in at], at
+
+
+def shingles(texts: list[str], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    return common.shingles([" ".join(plain(t)[0]) for t in texts], k)
+
+
+def notice_runs(notices: dict[str, list[str]]) -> dict[str, list[tuple[list[str], str]]]:
+    """First word -> (words, license)."""
+    out: dict[str, list[tuple[list[str], str]]] = {}
+    for license, said in notices.items():
+        for x in said:
+            words = plain(x)[0]
+            out.setdefault(words[0], []).append((words, license))
+    return out
+
+
+def noticed(runs: dict[str, list[tuple[list[str], str]]], texts: list[list[str]]) -> Iterator[tuple[str, int, int, float, int]]:
+    """(license, text, first word, 1.0, times) of the notices that stand in texts of plain words."""
+    for t, words in enumerate(texts):
+        found: dict[str, set[int]] = {}
+        for i in [i for i, w in enumerate(words) if w in runs]:
+            for said, license in runs[words[i]]:
+                if words[i:i + len(said)] == said:
+                    found.setdefault(license, set()).add(i)
+        for license, places in found.items():
+            yield license, t, min(places), 1.0, len(places)
+
+
 def bands_for(similarity: float, sure: float) -> int:
     """Bands of one row each, of which one agrees with the probability sure at the given Jaccard similarity."""
     return max(1, math.ceil(math.log(1 - sure) / math.log(1 - similarity)))
@@ -116,14 +210,16 @@ def candidates(index: Index, flat: np.ndarray, counts: np.ndarray) -> dict[int,
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT, sure: float = SURE) -> DataFrame:
-    """(doc_id, license, first_word, containment, n_windows) for every document and template that a window of it holds.
+    """(doc_id, license, first_word, containment, n_windows) for every document and template that a window of it holds, or notice that
+    stands in it word for word (n_windows: how often); notices are looked for unless other templates are given.
 
-    Texts are cut to lower-case words; windows overlap by half. A window that shares a band with a template is compared exactly: the
+    Texts are cut to lower-case words without the punctuation around them, comment marks are no words; windows overlap by half. A window that shares a band with a template is compared exactly: the
     share of the template's shingles that it holds must reach containment. Of several windows the one that holds most is told, then the
     first, with the number of those that reach it. Whole texts are scanned; null and empty texts hold nothing; a text shorter than a
     window is one window; repeated rows are told for each row; a null doc_id stays null. The templates are a short list in the code,
     so each task has all of them.
     """
+    runs = notice_runs(NOTICES) if templates is None else {}
     templates = TEMPLATES if templates is None else templates
     index = Index.build(templates, containment, sure)
     parts = (index.names, index.sets, index.steps, index.bands, index.seeds)
@@ -133,8 +229,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             for first, texts in slices(batch):
-                flat, counts = shingles(texts, SHINGLE)
-                out = [(ids[first + t].as_py(), ix.names[i], word, share, n) for i, t, word, share, n in _verified(ix, flat, counts, containment)]
+                words = [plain(t) for t in texts]
+                cleaned = [" ".join(w) for w, _ in words]
+                flat, counts = common.shingles(cleaned, SHINGLE)
+                told = {(ix.names[i], t): x for i, t, *x in _verified(ix, flat, counts, containment)}
+                for name, t, *x in noticed(runs, [w for w, _ in words]):
+                    told.setdefault((name, t), x)
+                out = [(ids[first + t].as_py(), name, words[t][1][x[0]] if words[t][1] else x[0], *x[1:]) for (name, t), x in told.items()]
                 cols = list(zip(*out)) if out else [()] * 5
                 kinds = (pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "license", "first_word", "containment", "n_windows"])

@@ -64,3 +64,21 @@ def test_bands_guarantee_their_probability():
 
 def test_no_documents(no_docs):
     assert licenses.scan(no_docs).collect() == []
+
+
+def test_notices_without_their_marks_and_licenses_in_comments(spark):
+    said = {
+        "Licensed under the Apache License, Version 2.0": "Apache-2.0-notice", "(released under the MIT License,)": "MIT-notice", "# SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1-notice",
+        "Licensed under CC BY-SA 3.0.": "CC-BY-SA-3.0-notice", "see https://creativecommons.org/licenses/by-nc-nd/4.0/ there": "CC-BY-NC-ND-4.0-notice", "Released under the ISC license": "ISC-notice",
+    }
+    rows = [(i, "one two -- three " + t + " four") for i, t in enumerate(said)]
+    long = sorted(n for n in licenses.TEMPLATES if len(licenses.TEMPLATES[n].split()) > 15)
+    for k, n in enumerate(long):
+        w = licenses.TEMPLATES[n].split()
+        mark = ("#", "*", "//")[k % 3]
+        rows.append((100 + k, "/* x\n" + "".join(f" {mark} " + " ".join(w[i:i + 7]) + "\n" for i in range(0, len(w), 7))))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    of = {(r.doc_id, r.license): r for r in got}
+    assert all((i, n) in of for i, n in enumerate(said.values())), got
+    assert all((100 + k, n) in of and of[100 + k, n].first_word == 3 for k, n in enumerate(long)), got
+    assert of[0, "Apache-2.0-notice"].first_word == 4
