@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import numbered, offsets
+from plumbline.llm.common import numbered, offsets, stored
 
 #: Bytes of text that the kernels work on at once; a longer text is worked on alone.
 BATCH_BYTES = 8_000_000
@@ -150,7 +150,8 @@ def resampled(docs: DataFrame, target: DataFrame, share: tuple[int, int] = (25,
     gain = gains(bucket_counts(target, target_text, buckets), bucket_counts(docs, text_col, buckets), buckets)
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.col("doc_id").cast("string")), 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(F.lit(-1000.0) * F.log(-F.log((h + F.lit(0.5)) / F.lit(4294967296.0))))
-    scored = weighed(docs, gain, id_col, text_col).withColumn("score", F.col("weight") + noise)
+    # written first: dealing rows in ranges looks at them twice, texts are read once
+    scored = stored(weighed(docs, gain, id_col, text_col), "weighed").withColumn("score", F.col("weight") + noise)
     enters = F.col("n_words") >= least_words
     # documents that may be drawn come first, so their number is their rank
     order = [(enters & F.col("score").isNotNull()).desc(), F.col("score").desc_nulls_last(), F.col("doc_id").asc_nulls_last(), F.col("weight").desc(), F.col("n_features").desc()]
