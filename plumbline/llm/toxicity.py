@@ -1,277 +1,319 @@
-"""Toxicity by class-conditional Kneser-Ney models."""
+"""Toxicity by class-conditional Kneser-Ney models of word pairs that back off to counts shared by both classes."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BROADCAST_ROWS, checked_broadcast, columns_of, free_name, slices, stored, words_of
+from plumbline.llm.common import checked_broadcast, columns_of, free_name, mixed, offsets, stored, word_hashes
 
-#: Kneser-Ney discount, and the odds, before anything is counted, that an expression differs between the classes.
-DISCOUNT, EVIDENCE = 0.75, 0.1
-#: Words of a window, and the score from which a document counts as toxic.
-WINDOW, THRESHOLD = 32, 0.3
-#: Lengths of the beginnings that a rare word backs off to, the longest first.
-STEMS = (6, 5, 4)
-#: Words a task remembers.
-REMEMBERED = 500_000
-_MARKS = ".,;:!?\"()[]|*"
-
-
-def tokens(text: str) -> list[str]:
-    """Lower-case words without the punctuation around them."""
-    text = text.lower()
-    for c in _MARKS:
-        if c in text:
-            text = text.replace(c, " ")
-    return words_of(text)
-
-
-def expressions(word: str) -> list[str]:
-    """The word and its beginnings, marked by a star: from the rarest expression to the one it backs off to last."""
-    return [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
+#: What Kneser-Ney takes from a count of 1, of 2 and of 3 or more. A single count keeps nothing, so its whole mass backs off.
+DISCOUNTS = (1.0, 1.5, 2.0)
+#: The models are fitted on a sample of the labelled rows: about so many of each class at most, and so many characters of them.
+LABELLED_ROWS, LABELLED_CHARS = 20_000, 64_000_000
+#: Words of the windows whose strongest one is a feature, and the score from which a document counts as toxic.
+WINDOWS, THRESHOLD = (1, 2, 8, 32), 0.3
+#: Regularisation of the curve, of so many calibration rows' weight.
+CURVE = 3.0
+#: Bytes of text that the kernels work on at once.
+BATCH_BYTES = 8_000_000
+#: What separates words: white space and punctuation, which lower-cased words do not hold.
+SEPARATORS = r"""[\x20\x09-\x0D.,;:!?"()\[\]|*]+"""
+#: The history of a text's first word.
+START = np.uint64(0)
 
 
 def fold(doc_id: Column) -> Column:
     return (F.crc32(doc_id.cast("string").cast("binary")) % 4).cast("int")
 
 
-def _counted(labelled: DataFrame, what: Callable[[list[str], int], list], schema: str) -> DataFrame:
-    """Rows (expression, toxic, ordinary) of each slice, counted before the shuffle. what gives the expressions of a text."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            label = batch.column(batch.schema.get_field_index("toxic")).to_pylist()
-            for first, texts in slices(batch):
-                got: dict = {}
-                for t, y in zip(texts, label[first:]):
-                    for x in what(tokens(t)):
-                        c = got.get(x)
-                        if c is None:
-                            c = got[x] = [0, 0]
-                        c[y] += 1
-                names = [c.split()[0] for c in schema.split(", ")]
-                keys = list(got)
-                cols = [pa.array([k[i] for k in keys] if isinstance(keys[0], tuple) else keys) for i in range(len(names) - 2)] if keys else [pa.array([], pa.string()) for _ in names[2:]]
-                counts = np.array(list(got.values()), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(counts[:, 1]), pa.array(counts[:, 0])], names)
-
-    return labelled.select("text", "toxic").mapInArrow(rows, schema)
+def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code of every word, 64-bit hash of each code, words of each text) of lower-cased texts; a null text has no words."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), pattern=SEPARATORS)
+    flat = pc.list_flatten(lists)
+    real = pc.not_equal(flat, "")
+    bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    counts = np.diff(offsets(real.to_numpy(zero_copy_only=False))[bounds])
+    coded = flat.filter(real).dictionary_encode()
+    hashes = word_hashes(coded.dictionary.to_pylist())
+    return coded.indices.to_numpy().astype(np.int64), np.where(hashes == START, np.uint64(1), hashes), counts
 
 
-class Model(NamedTuple):
-    """Stored tables (word, ratio) and (before, word, ratio) of the log-ratios of all counted words and pairs, and the curve from
-    log-ratios to a probability (or one probability for all). A word outside has the ratio of its longest counted beginning, else none."""
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of stretches of a batch with about BATCH_BYTES of text."""
+    texts = batch.column(batch.schema.get_field_index("text"))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    a = 0
+    while a < len(texts):
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BATCH_BYTES, "right")))
+        yield a, texts.slice(a, z - a)
+        a = z
 
-    words: DataFrame | None
-    pairs: DataFrame | None
-    weights: tuple[float, float, float]
-    constant: float | None
 
+def _before(codes: np.ndarray, counts: np.ndarray, start: int) -> np.ndarray:
+    """The code before each word of several texts in a row, start for a first word."""
+    out = np.r_[start, codes[:-1]] if len(codes) else codes
+    out[(np.cumsum(counts) - counts)[counts > 0]] = start
+    return out
 
-def features(ratios: np.ndarray) -> tuple[float, float]:
-    """The length-normalised log-ratio of a document: of its strongest window, and of the whole."""
-    n = len(ratios)
-    if not n:
-        return 0.0, 0.0
-    sums = np.r_[0.0, np.cumsum(ratios)]
-    w = min(n, WINDOW)
-    return float((sums[w:] - sums[:-w]).max() / WINDOW), float(sums[-1] / n)
 
+def counted_pairs(labelled: DataFrame) -> DataFrame:
+    """(before, word, t0, t1, o0, o1): how often each pair of words stands in toxic and ordinary rows, apart for rows outside (0) and inside
+    (1) the calibration fold. One pass counts for both models; a task sums its stretches before the shuffle. Words are 64-bit hashes."""
 
-class Ratios(dict):
-    """Log-ratio of a word: its own if it is kept, else that of its longest kept beginning, else none. Remembers what it was asked."""
-
-    def __init__(self, kept: dict[str, float]):
-        super().__init__()
-        self.kept = kept
-
-    def __missing__(self, word: str) -> float:
-        if len(self) > REMEMBERED:
-            self.clear()
-        r = self[word] = next((self.kept[e] for e in expressions(word) if e in self.kept), 0.0)
-        return r
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = (batch.column("toxic").to_numpy() == 0) * 2 + batch.column("inside").to_numpy(zero_copy_only=False)
+            for first, texts in _parts(batch):
+                codes, hashes, counts = word_codes(texts)
+                known = np.r_[hashes, START]
+                key = _before(codes, counts, len(hashes)) << 32 | codes
+                of = np.repeat(group[first:first + len(texts)], counts)
+                for g in range(4):
+                    pair, n = np.unique(key[of == g], return_counts=True)
+                    cols = [known[pair >> 32].view(np.int64), known[pair & 0xFFFFFFFF].view(np.int64), np.full(len(pair), g, np.int32), n]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["before", "word", "g", "n"])
+
+    part = labelled.select("text", "toxic", "inside").mapInArrow(rows, "before long, word long, g int, n long")
+    sums = [F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(0)).alias(c) for g, c in enumerate(("t0", "t1", "o0", "o1"))]
+    return stored(part.groupBy("before", "word").agg(*sums), "pairs")
+
+
+class Table(NamedTuple):
+    """Sorted 64-bit keys and a row of values for each."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    def rows(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, that after the last one for keys outside."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, len(self.keys))
+
+
+class Kneser(NamedTuple):
+    """What both class models need to score, toxic before ordinary in every pair of values.
+
+    words: what is left of a word's continuation counts after the discount, and how often it stands in all documents.
+    histories: how often a word stands before another, and the share of it that the discount took.
+    pairs: what is left of a pair's counts, by pair_keys.
+    continuations, freed: the sum of all continuation counts and of what the discount took from them. total: words of all documents.
+    Words, histories and pairs from which the discount left nothing have no rows: their probability is that of the backoff.
+    """
+
+    words: Table
+    histories: Table
+    pairs: Table
+    continuations: tuple[float, float]
+    freed: tuple[float, float]
+    total: float
+
+    def probabilities(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(P(word | class), P(word | before, class)) of hashed words, a column for each class. Words that no row knows count as standing
+        once in all documents; the ratio of the classes does not depend on it."""
+        known = np.vstack([self.words.values, [0.0, 0.0, 1.0]])[self.words.rows(word)]
+        share = known[:, 2:] / self.total
+        one = (known[:, :2] + np.array(self.freed) * share) / np.array(self.continuations)
+        history = np.vstack([self.histories.values, [1.0, 1.0, 1.0, 1.0]])[self.histories.rows(before)]
+        own = np.vstack([self.pairs.values, [0.0, 0.0]])[self.pairs.rows(pair_keys(before, word))]
+        return one, own / history[:, :2] + history[:, 2:] * one
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mixed(before * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def _taken(c: Column) -> Column:
+    """What the discount takes from a count."""
+    one, two, more = DISCOUNTS
+    return F.when(c == 0, 0.0).when(c == 1, one).when(c == 2, two).otherwise(more)
+
+
+def _arrays(df: DataFrame) -> dict[str, np.ndarray]:
+    table = df.toArrow()
+    return {c: table.column(c).to_numpy() for c in table.column_names}
+
+
+def class_models(pairs: DataFrame, docs: DataFrame, both: bool) -> Kneser | None:
+    """The models of the counted pairs, with or without the calibration fold; None where a class has no words. Their size is bounded by
+    the sample of labelled rows; the counts they back off to are of all rows of docs."""
+    t, o = (F.col("t0") + F.col("t1"), F.col("o0") + F.col("o1")) if both else (F.col("t0"), F.col("o0"))
+    counts = pairs.select("before", "word", t.alias("t"), o.alias("o")).where("t > 0 OR o > 0")
+    classes = ("t", "o")
+    by_word = stored(counts.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in classes], F.max(F.greatest("t", "o")).alias("most")), "continuations")
+    sums = by_word.agg(*[F.sum(c).cast("double").alias(c) for c in classes], *[F.sum(_taken(F.col(c))).alias(f"d{c}") for c in classes]).first()
+    if not sums["t"] or not sums["o"]:
+        return None
+    held = _arrays(by_word.where("t > 1 OR o > 1 OR most > 1").select("word", *[(F.col(c) - _taken(F.col(c))).alias(c) for c in classes]))
+    word = held["word"].view(np.uint64)
+    order = np.argsort(word)
+    words = Table(word[order], np.stack([held["t"][order], held["o"][order], np.zeros(len(order))], 1))
+    share, total = shared_counts(docs, words)
+    words.values[:, 2] = share
+    by_history = counts.groupBy("before").agg(*[F.sum(c).alias(c) for c in classes], *[F.sum(_taken(F.col(c))).alias(f"d{c}") for c in classes])
+    held = _arrays(by_history.where("dt < t OR do < o"))
+    key = held["before"].view(np.uint64)
+    order = np.argsort(key)
+    n = [np.maximum(held[c][order], 1).astype(float) for c in classes]
+    free = [np.where(held[c][order] > 0, held[f"d{c}"][order] / m, 1.0) for c, m in zip(classes, n)]
+    histories = Table(key[order], np.stack([*n, *free], 1))
+    held = _arrays(counts.where("t > 1 OR o > 1").select("before", "word", *[(F.col(c) - _taken(F.col(c))).alias(c) for c in classes]))
+    key = pair_keys(held["before"].view(np.uint64), held["word"].view(np.uint64))
+    order = np.argsort(key)
+    return Kneser(words, histories, Table(key[order], np.stack([held["t"][order], held["o"][order]], 1)), (sums["t"], sums["o"]), (sums["dt"], sums["do"]), max(total, 1.0))
+
+
+def shared_counts(docs: DataFrame, words: Table) -> tuple[np.ndarray, float]:
+    """(how often each word of the table stands in all documents, how many words these have): the backoff of both classes. A word of the table
+    that stands in none, as the documents are others, counts once."""
+    shipped = docs.sparkSession.sparkContext.broadcast(words.keys)
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, total = Table(shipped.value, np.empty(0)), 0
+        counts = np.zeros(len(table.keys) + 1, np.int64)
+        for batch in batches:
+            for _, texts in _parts(batch):
+                codes, hashes, _ = word_codes(texts)
+                np.add.at(counts, table.rows(hashes), np.bincount(codes, minlength=len(hashes)))
+        hit = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], ["at", "n"])
 
-def text_features(text: str, words: Ratios, pairs: dict[tuple[str, str], float]) -> tuple[float, float]:
-    ws = tokens(text)
-    r = [words[w] for w in ws]
-    for i in range(1, len(ws)):
-        r[i] = pairs.get((ws[i - 1], ws[i]), r[i])
-    return features(np.array(r))
+    found = _arrays(docs.select("text").mapInArrow(rows, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")))
+    out = np.zeros(len(words.keys) + 1)
+    out[found["at"]] = found["n"]
+    return np.maximum(out[:-1], 1.0), float(out.sum())
 
 
-def fit_models(labelled: DataFrame) -> tuple[DataFrame, DataFrame] | None:
-    """Tables of the log-ratios of words (and their beginnings) and of pairs; none without rows of both classes. All words and pairs of
-    all labelled rows stand in them."""
-    if labelled.select("toxic").distinct().count() < 2:
-        return None
-    counted = _counted(labelled, lambda ws: set(zip(["", *ws], ws)), "before string, word string, toxic long, ordinary long")
-    pairs = stored(counted.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "pairs")
-    words = stored(fit_words(pairs), "words")
-    return words, stored(fit_pairs(pairs, words), "pair-ratios")
-
-
-def _ratio(toxic: Column, ordinary: Column, prior: float, back: Column) -> Column:
-    """Log-ratio of an expression between the classes. What the discount takes from its counts is split by the log-ratio it backs off to,
-    and the way from there to its own ratio is gone as far as the counts make a difference probable (a likelihood ratio against BIC and
-    odds of EVIDENCE): no expression is left out, and what differs by chance moves little. prior is the log-ratio of the class sizes."""
-    taken = DISCOUNT * ((toxic > 0).cast("int") + (ordinary > 0).cast("int"))
-    shares = 1 / (1 + F.exp(-(F.lit(prior) + back))), 1 / (1 + F.exp(F.lit(prior) + back))
-    kept = lambda c: F.greatest(c - DISCOUNT, F.lit(0.0))
-    own = F.log(kept(toxic) + taken * shares[0]) - F.log(kept(ordinary) + taken * shares[1]) - F.lit(prior)
-    n = toxic + ordinary
-    term = lambda c, share: F.when(c > 0, c * F.log(c / (n * share))).otherwise(0.0)
-    differs = 1 / (1 + F.sqrt(n) * F.exp(-(term(toxic, shares[0]) + term(ordinary, shares[1]))) / EVIDENCE)
-    return back + differs * (own - back)
-
-
-def _prior(counts: DataFrame) -> float:
-    t, o = counts.agg(F.sum("toxic"), F.sum("ordinary")).first()
-    return math.log(max(t or 0, 1) / max(o or 0, 1))
-
-
-def fit_words(pairs: DataFrame) -> DataFrame:
-    """(word, ratio) of every word and beginning, from its continuation counts: copies of a passage add none, as the word before stays
-    the same."""
-    t, o = ((F.col(c) > 0).cast("long") for c in ("toxic", "ordinary"))
-    plain = stored(pairs.groupBy("word").agg(F.sum(t).alias("toxic"), F.sum(o).alias("ordinary")), "continuations")
-    # a beginning continues where its words do
-    starts = plain.select(F.explode(F.array_compact(F.array(*[F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS]))).alias("word"), "toxic", "ordinary")
-    by = plain.union(starts).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    return by.select("word", _ratio(F.col("toxic"), F.col("ordinary"), _prior(plain), F.lit(0.0)).alias("ratio"))
-
-
-def fit_pairs(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """(before, word, ratio) of every pair, from the documents that hold it, backed off to the word's own ratio."""
-    pairs = pairs.where("before <> ''")
-    joined = pairs.join(checked_broadcast(words.withColumnRenamed("ratio", "back")), "word")
-    return joined.select("before", "word", _ratio(F.col("toxic"), F.col("ordinary"), _prior(pairs), F.col("back")).alias("ratio"))
-
-
-def featured(docs: DataFrame, words: DataFrame, pairs: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows of docs with strongest and mean in place of text. Tables of up to so many rows travel to the tasks; else the places of a
-    text are joined with them, with the same result. A null text counts as empty."""
-    if words.limit(most + 1).count() <= most and pairs.limit(most + 1).count() <= most:
-        return _featured_in_place(docs, words, pairs)
-    return _featured_by_join(docs, words, pairs)
-
-
-def _other(docs: DataFrame) -> tuple[list[str], str]:
+def strongest(ratios: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
+    """The largest sum of a window of so many words, over its width, for each of several texts in a row; a shorter text is one window."""
+    sums = np.r_[0.0, np.cumsum(ratios)]
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    out = (sums[ends] - sums[starts]) / width
+    long = counts > width
+    if long.any():
+        n = counts[long] - width + 1
+        at = np.repeat(starts[long] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        out[long] = np.maximum.reduceat(sums[at + width] - sums[at], np.cumsum(n) - n) / width
+    return out
+
+
+FEATURES = [f"{order}_{w}" for order in ("word", "pair") for w in (*WINDOWS, "all")] + ["length"]
+
+
+def features(texts: pa.Array, model: Kneser) -> np.ndarray:
+    """A row for each text: length-normalised log-likelihood ratios of the classes, of words alone and of words after the word before them, in
+    the strongest windows and in the whole text, and the logarithm of its length. A text without words has zeros."""
+    codes, hashes, counts = word_codes(texts)
+    before, word = np.r_[hashes, START][_before(codes, counts, len(hashes))], hashes[codes]
+    one, two = model.probabilities(before, word)
+    out = []
+    for p in (one, two):
+        ratio = np.log(p[:, 0]) - np.log(p[:, 1])
+        out += [strongest(ratio, counts, w) for w in WINDOWS]
+        ends = np.cumsum(counts)
+        sums = np.r_[0.0, np.cumsum(ratio)]
+        out.append((sums[ends] - sums[ends - counts]) / np.maximum(counts, 1))
+    return np.stack([*out, np.log1p(counts)], 1)
+
+
+def featured(docs: DataFrame, model: Kneser) -> DataFrame:
+    """The rows of docs with FEATURES in place of text. Every text is read whole."""
     names = [c for c in docs.columns if c != "text"]
-    return names, "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in names)
-
-
-def _featured_in_place(docs: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
-    names, schema = _other(docs)
-    held = docs.sparkSession.sparkContext.broadcast(({r[0]: r[1] for r in words.toLocalIterator()}, {(r[0], r[1]): r[2] for r in pairs.toLocalIterator()}))
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = Ratios(held.value[0]), held.value[1]
         for batch in batches:
             cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            for first, texts in slices(batch):
-                got = np.array([text_features(t, words, pairs) for t in texts]).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([*(c.slice(first, len(texts)) for c in cols), pa.array(got[:, 0]), pa.array(got[:, 1])], [*names, "strongest", "mean"])
+            for first, texts in _parts(batch):
+                got = features(texts, shipped.value)
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, len(texts)) for c in cols), *map(pa.array, got.T.copy())], [*names, *FEATURES])
 
-    return docs.mapInArrow(rows, schema + "strongest double, mean double")
+    schema = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names] + [f"{c} double" for c in FEATURES]
+    return docs.mapInArrow(rows, ", ".join(schema))
 
 
-def _featured_by_join(docs: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
-    names, schema = _other(docs)
+class Model(NamedTuple):
+    """The class models, the logistic curve from features to a probability (intercept first), or one probability for all."""
 
-    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, texts in slices(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(list({w for t in texts for w in tokens(t)}), pa.string())], ["word"])
+    kneser: Kneser | None
+    curve: tuple[float, ...]
+    constant: float
 
-    asked = docs.select("text").mapInArrow(vocabulary, "word string").distinct()
-    known = words.select(F.col("word").alias("_word"), "ratio")
-    for i, e in enumerate([F.col("word"), *[F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS]]):
-        asked = asked.withColumn("_e", e).join(known.withColumnRenamed("ratio", f"r{i}"), F.col("_e") == F.col("_word"), "left").drop("_e", "_word")
-    ratios = stored(asked.select(F.xxhash64("word").alias("_w"), F.coalesce(*[F.col(f"r{i}") for i in range(len(STEMS) + 1)]).alias("_alone")), "asked")
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols = [batch.column(batch.schema.get_field_index(c)) for c in [*names, "_row"]]
-            for first, texts in slices(batch):
-                per_text = [tokens(t) or [None] for t in texts]  # an empty text has one place without a word
-                counts = np.fromiter(map(len, per_text), np.int64, len(per_text))
-                at = pa.array(np.repeat(np.arange(first, first + len(texts)), counts))
-                place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-                flat = [w for ws in per_text for w in ws]
-                before = [w for ws in per_text for w in ("", *ws[:-1])]
-                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in cols), pa.array(place, pa.int32()), pa.array(before, pa.string()), pa.array(flat, pa.string())], [*names, "_row", "_place", "_before", "_token"])
-
-    told = (docs.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(places, schema + "_row long, _place int, _before string, _token string")
-            .select(*names, "_row", "_place", F.when(F.col("_token").isNotNull(), F.xxhash64("_before", "_token")).alias("_p"), F.when(F.col("_token").isNotNull(), F.xxhash64("_token")).alias("_w")))
-    paired = stored(pairs.select(F.xxhash64("before", "word").alias("_p"), F.col("ratio").alias("_paired")), "hashed-pairs")
-    told = told.join(checked_broadcast(paired), "_p", "left").join(checked_broadcast(ratios), "_w", "left")
-    ratio = F.when(F.col("_w").isNotNull(), F.coalesce("_paired", "_alone", F.lit(0.0)))
-    grouped = told.groupBy("_row", *names).agg(F.collect_list(F.when(ratio.isNotNull(), F.struct("_place", ratio.alias("_ratio")))).alias("_all"))
-    ready = grouped.select(*names, F.expr("transform(array_sort(_all), x -> x._ratio)").alias("_all"))
+def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """(labelled rows to fit on: text, toxic, inside, weight; the toxic share of all labelled rows). weight says how many labelled rows of its
+    class a row stands for; inside marks the calibration fold. Fold 2 is never read. Rows are taken by a hash of their id."""
+    y = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 2))
+         .groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+         .withColumn("_u", F.pmod(F.xxhash64(F.lit("labelled"), "_id"), F.lit(1 << 30)) / float(1 << 30)))
+    y = stored(y, "toxic-labels")
+    rows = {r["toxic"]: r["count"] for r in y.groupBy("toxic").count().collect()}
+    take = {c: min(1.0, LABELLED_ROWS / n) for c, n in rows.items()}
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = np.array([features(x.values.to_numpy()) for x in batch.column(batch.schema.get_field_index("_all"))]).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(got[:, 0]), pa.array(got[:, 1])], [*names, "strongest", "mean"])
+    def within(shares: dict[int, float]) -> Column:
+        return F.lit(False) if not shares else F.coalesce(*[F.when(F.col("toxic") == c, F.col("_u") < s) for c, s in shares.items()])
 
-    return ready.mapInArrow(rows, schema + "strongest double, mean double")
+    def joined(shares: dict[int, float]) -> DataFrame:
+        known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+        return known.join(checked_broadcast(y.where(within(shares))), F.col("doc_id") == F.col("_id"))
+
+    chars = {r["toxic"]: r["n"] for r in joined(take).groupBy("toxic").agg(F.sum(F.length("text")).alias("n")).collect()}
+    take = {c: take[c] * min(1.0, LABELLED_CHARS / max(n, 1)) for c, n in chars.items()}
+    weight = F.coalesce(F.lit(None).cast("double"), *[F.when(F.col("toxic") == c, F.lit(1 / s)) for c, s in take.items()])
+    out = joined(take).select("text", "toxic", (fold(F.col("doc_id")) == 3).alias("inside"), weight.alias("weight"))
+    return stored(out, "labelled"), rows.get(1, 0) / max(1, sum(rows.values()))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Models of both classes from labelled rows outside fold 2, whose labels are never read. Models of folds 0 and 1 score fold 3,
-    which gives the logistic curve from log-ratios to a probability; the final ones are of all three folds. Rows without a text, an
-    id or a label teach nothing; an id with several labels counts as toxic if one says so."""
-    y = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 2))
-         .groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic")))
-    y = stored(y, "toxic-labels")
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").join(checked_broadcast(y), F.col("doc_id") == F.col("_id"))
-    first, third = (joined.where(c).select("text", "toxic") for c in (fold(F.col("doc_id")) != 3, fold(F.col("doc_id")) == 3))
-    tables = fit_models(first)
-    held = stored(featured(third, *tables), "calibration") if tables else third
-    n, toxic = held.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    weights = (math.log(0.1), float(WINDOW) / 2, 0.0)
-    if tables and 0 < toxic < n:
+    """Models of both classes from labelled rows outside fold 2. Models of folds 0 and 1 score fold 3, which gives the curve from features
+    to a probability; the final ones are of all three folds. Rows without a text, an id or a label teach nothing; an id with several
+    labels counts as toxic if one says so."""
+    rows, share = sampled(docs, labels)
+    pairs = counted_pairs(rows)
+    first, final = class_models(pairs, docs, False), class_models(pairs, docs, True)
+    if final is None:
+        return Model(None, (), share)
+    held = rows.where("inside").select("text", "toxic", "weight")
+    if first is not None and held.select("toxic").distinct().count() == 2:
         from pyspark.ml.classification import LogisticRegression
         from pyspark.ml.feature import VectorAssembler
 
-        ready = VectorAssembler(inputCols=["strongest", "mean"], outputCol="x").transform(held)
-        curve = LogisticRegression(featuresCol="x", labelCol="toxic", regParam=1e-3, maxIter=100).fit(ready)
-        weights = (float(curve.intercept), *map(float, curve.coefficients))
-    tables = fit_models(joined.select("text", "toxic"))
-    if not tables:
-        share = joined.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
-        return Model(None, None, (0.0, 0.0, 0.0), float(share))
-    return Model(*tables, weights, None)
+        ready = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(stored(featured(held, first), "calibration"))
+        # the fewer rows, the more the curve is held back
+        curve = LogisticRegression(featuresCol="x", labelCol="toxic", weightCol="weight", regParam=CURVE / ready.count(), maxIter=100).fit(ready)
+        return Model(final, (float(curve.intercept), *map(float, curve.coefficients)), share)
+    # too little to calibrate on: the log-odds of the class, moved by the strongest word
+    odds = math.log((share + 1e-3) / (1 - share + 1e-3))
+    return Model(final, (odds, 1.0, *[0.0] * (len(FEATURES) - 1)), share)
 
 
-def scored(docs: DataFrame, model: Model, most: int = BROADCAST_ROWS) -> DataFrame:
+def scored(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs with a score in place of text. Every text is scored whole; a null text counts as empty."""
-    if model.constant is not None:
-        return docs.drop("text").withColumn("score", F.lit(model.constant))
-    c, a, b = model.weights
-    z = F.lit(c) + a * F.col("strongest") + b * F.col("mean")
-    return featured(docs, model.words, model.pairs, most).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))).drop("strongest", "mean")
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row."""
-    return scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    if model.kneser is None:
+        return docs.drop("text").withColumn("score", F.lit(float(model.constant)))
+    z = F.lit(model.curve[0])
+    for c, name in zip(model.curve[1:], FEATURES):
+        z = z + c * F.col(name)
+    return featured(docs, model.kneser).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))).drop(*FEATURES)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row. Labels, lang, source and doc_id are no inputs of the score. Without labels
-    of both classes the score is the share of toxic rows among those seen, 0 if there are none. A null doc_id is not held out."""
-    model = fit(docs, labels)
+    """(doc_id, held_out, score, predicted) for every row. Labels, lang, source and doc_id are no inputs of the score. Where a class has no
+    labelled words the score is the share of toxic rows among those seen, 0 if there are none. A null doc_id is not held out."""
+    told = scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fit(docs, labels))
     held_out = F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
-    return score(docs, model).select("doc_id", held_out, "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return told.select("doc_id", held_out, "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
