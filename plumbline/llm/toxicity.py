@@ -23,7 +23,7 @@ WINDOWS, THRESHOLD = (1, 2, 8, 32), 0.3
 #: Regularisation of the curve, of so many calibration rows' weight.
 CURVE = 3.0
 #: Bytes of text that the kernels work on at once.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
 #: What separates words: white space and punctuation, which lower-cased words do not hold.
 SEPARATORS = r"""[\x20\x09-\x0D.,;:!?"()\[\]|*]+"""
 #: The history of a text's first word.
@@ -87,13 +87,18 @@ def counted_pairs(labelled: DataFrame) -> DataFrame:
 
 
 class Table(NamedTuple):
-    """Sorted 64-bit keys and a row of values for each."""
+    """Sorted 64-bit keys and a row of values for each, with a last row for keys outside."""
 
     keys: np.ndarray
     values: np.ndarray
 
+    @staticmethod
+    def of(keys: np.ndarray, columns: list[np.ndarray], outside: list[float]) -> Table:
+        order = np.argsort(keys)
+        return Table(keys[order], np.vstack([np.stack(columns, 1)[order], outside]))
+
     def rows(self, keys: np.ndarray) -> np.ndarray:
-        """The place of each key, that after the last one for keys outside."""
+        """The place of each key, that of the last row for keys outside."""
         if not len(self.keys):
             return np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
@@ -120,11 +125,11 @@ class Kneser(NamedTuple):
     def probabilities(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(P(word | class), P(word | before, class)) of hashed words, a column for each class. Words that no row knows count as standing
         once in all documents; the ratio of the classes does not depend on it."""
-        known = np.vstack([self.words.values, [0.0, 0.0, 1.0]])[self.words.rows(word)]
+        known = self.words.values[self.words.rows(word)]
         share = known[:, 2:] / self.total
         one = (known[:, :2] + np.array(self.freed) * share) / np.array(self.continuations)
-        history = np.vstack([self.histories.values, [1.0, 1.0, 1.0, 1.0]])[self.histories.rows(before)]
-        own = np.vstack([self.pairs.values, [0.0, 0.0]])[self.pairs.rows(pair_keys(before, word))]
+        history = self.histories.values[self.histories.rows(before)]
+        own = self.pairs.values[self.pairs.rows(pair_keys(before, word))]
         return one, own / history[:, :2] + history[:, 2:] * one
 
 
@@ -144,42 +149,39 @@ def _arrays(df: DataFrame) -> dict[str, np.ndarray]:
     return {c: table.column(c).to_numpy() for c in table.column_names}
 
 
-def class_models(pairs: DataFrame, docs: DataFrame, both: bool) -> Kneser | None:
-    """The models of the counted pairs, with or without the calibration fold; None where a class has no words. Their size is bounded by
-    the sample of labelled rows; the counts they back off to are of all rows of docs."""
-    t, o = (F.col("t0") + F.col("t1"), F.col("o0") + F.col("o1")) if both else (F.col("t0"), F.col("o0"))
+def class_models(pairs: DataFrame, docs: DataFrame, larger: Kneser | None = None) -> Kneser | None:
+    """The models of all counted pairs; with a larger model, those of the pairs outside the calibration fold, which hold no word that the larger
+    one does not hold and back off to its shared counts. None where a class has no words. The tables' size is bounded by the sample of
+    labelled rows; the counts they back off to are of all rows of docs."""
+    t, o = (F.col("t0"), F.col("o0")) if larger else (F.col("t0") + F.col("t1"), F.col("o0") + F.col("o1"))
     counts = pairs.select("before", "word", t.alias("t"), o.alias("o")).where("t > 0 OR o > 0")
     classes = ("t", "o")
+    left = [(F.col(c) - _taken(F.col(c))).alias(c) for c in classes]
     by_word = stored(counts.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in classes], F.max(F.greatest("t", "o")).alias("most")), "continuations")
     sums = by_word.agg(*[F.sum(c).cast("double").alias(c) for c in classes], *[F.sum(_taken(F.col(c))).alias(f"d{c}") for c in classes]).first()
     if not sums["t"] or not sums["o"]:
         return None
-    held = _arrays(by_word.where("t > 1 OR o > 1 OR most > 1").select("word", *[(F.col(c) - _taken(F.col(c))).alias(c) for c in classes]))
-    word = held["word"].view(np.uint64)
-    order = np.argsort(word)
-    words = Table(word[order], np.stack([held["t"][order], held["o"][order], np.zeros(len(order))], 1))
-    share, total = shared_counts(docs, words)
-    words.values[:, 2] = share
+    held = _arrays(by_word.where("t > 1 OR o > 1 OR most > 1").select("word", *left))
+    words = Table.of(held["word"].view(np.uint64), [held["t"], held["o"], np.ones(len(held["t"]))], [0.0, 0.0, 1.0])
+    total = larger.total if larger else shared_counts(docs, words)
+    if larger:
+        words.values[:, 2] = larger.words.values[np.r_[larger.words.rows(words.keys), len(larger.words.keys)], 2]
     by_history = counts.groupBy("before").agg(*[F.sum(c).alias(c) for c in classes], *[F.sum(_taken(F.col(c))).alias(f"d{c}") for c in classes])
     held = _arrays(by_history.where("dt < t OR do < o"))
-    key = held["before"].view(np.uint64)
-    order = np.argsort(key)
-    n = [np.maximum(held[c][order], 1).astype(float) for c in classes]
-    free = [np.where(held[c][order] > 0, held[f"d{c}"][order] / m, 1.0) for c, m in zip(classes, n)]
-    histories = Table(key[order], np.stack([*n, *free], 1))
-    held = _arrays(counts.where("t > 1 OR o > 1").select("before", "word", *[(F.col(c) - _taken(F.col(c))).alias(c) for c in classes]))
-    key = pair_keys(held["before"].view(np.uint64), held["word"].view(np.uint64))
-    order = np.argsort(key)
-    return Kneser(words, histories, Table(key[order], np.stack([held["t"][order], held["o"][order]], 1)), (sums["t"], sums["o"]), (sums["dt"], sums["do"]), max(total, 1.0))
-
-
-def shared_counts(docs: DataFrame, words: Table) -> tuple[np.ndarray, float]:
-    """(how often each word of the table stands in all documents, how many words these have): the backoff of both classes. A word of the table
-    that stands in none, as the documents are others, counts once."""
+    n = [np.maximum(held[c], 1).astype(float) for c in classes]
+    histories = Table.of(held["before"].view(np.uint64), [*n, *[np.where(held[c] > 0, held[f"d{c}"] / m, 1.0) for c, m in zip(classes, n)]], [1.0] * 4)
+    held = _arrays(counts.where("t > 1 OR o > 1").select("before", "word", *left))
+    own = Table.of(pair_keys(held["before"].view(np.uint64), held["word"].view(np.uint64)), [held["t"], held["o"]], [0.0, 0.0])
+    return Kneser(words, histories, own, (sums["t"], sums["o"]), (sums["dt"], sums["do"]), total)
+
+
+def shared_counts(docs: DataFrame, words: Table) -> float:
+    """Fills in how often each word of the table stands in all documents, the backoff of both classes, and gives how many words these have.
+    A word that stands in none, as the documents are others, counts once."""
     shipped = docs.sparkSession.sparkContext.broadcast(words.keys)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, total = Table(shipped.value, np.empty(0)), 0
+        table = Table(shipped.value, np.empty(0))
         counts = np.zeros(len(table.keys) + 1, np.int64)
         for batch in batches:
             for _, texts in _parts(batch):
@@ -189,9 +191,9 @@ def shared_counts(docs: DataFrame, words: Table) -> tuple[np.ndarray, float]:
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], ["at", "n"])
 
     found = _arrays(docs.select("text").mapInArrow(rows, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")))
-    out = np.zeros(len(words.keys) + 1)
-    out[found["at"]] = found["n"]
-    return np.maximum(out[:-1], 1.0), float(out.sum())
+    inside = found["at"] < len(words.keys)
+    words.values[found["at"][inside], 2] = found["n"][inside]
+    return float(max(found["n"].sum(), 1))
 
 
 def strongest(ratios: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
@@ -281,9 +283,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     labels counts as toxic if one says so."""
     rows, share = sampled(docs, labels)
     pairs = counted_pairs(rows)
-    first, final = class_models(pairs, docs, False), class_models(pairs, docs, True)
+    final = class_models(pairs, docs)
     if final is None:
         return Model(None, (), share)
+    first = class_models(pairs, docs, final)
     held = rows.where("inside").select("text", "toxic", "weight")
     if first is not None and held.select("toxic").distinct().count() == 2:
         from pyspark.ml.classification import LogisticRegression

@@ -110,7 +110,7 @@ def phrases(spark):
     rows = [(" ".join([*(a := [rng.choice(vocab) for _ in range(30)])[:20], *(["Rotten,", "old", "grumbler!"] if i % 5 == 0 else ["an", "old", "house"]), *a[20:]]), int(i % 5 == 0), False) for i in range(120)]
     docs = spark.createDataFrame([(t,) for t, *_ in rows] + [("w1 unlabelled words (only) here", ), (None,), ("",)], "text string")
     pairs = toxicity.counted_pairs(spark.createDataFrame(rows, "text string, toxic int, inside boolean").repartition(3))
-    return rows, [r.text for r in docs.collect()], toxicity.class_models(pairs, docs, False)
+    return rows, [r.text for r in docs.collect()], toxicity.class_models(pairs, docs)
 
 
 def test_class_probabilities_are_kneser_ney_and_sum_to_one(phrases):
@@ -138,6 +138,17 @@ def test_a_fixed_phrase_tells_the_classes_apart(phrases):
     assert two[0, 0] > 5 * two[0, 1] and two[1, 1] > 5 * two[1, 0]
 
 
+def test_smaller_model_backs_off_to_the_same_counts(spark, phrases):
+    rows, texts, model = phrases
+    marked = [(t, y, i % 3 == 0) for i, (t, y, _) in enumerate(rows)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    pairs = toxicity.counted_pairs(spark.createDataFrame(marked, "text string, toxic int, inside boolean"))
+    final = toxicity.class_models(pairs, docs)
+    alone = toxicity.class_models(toxicity.counted_pairs(spark.createDataFrame([m for m in marked if not m[2]], "text string, toxic int, inside boolean")), docs)
+    for got, want in ((final, model), (toxicity.class_models(pairs, docs, final), alone)):
+        assert got[3:] == want[3:] and all((a.keys == b.keys).all() and (a.values == b.values).all() for a, b in zip(got[:3], want[:3]))
+
+
 def test_features_equal_sums_over_all_windows(phrases):
     rows, _, model = phrases
     texts = [rows[0][0], None, "", "old", rows[1][0] + " " + rows[5][0], " ,. "]
