@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from plumbline.functions import columns as C
 from plumbline.operators import clean as cl
 from plumbline.operators import derive as dv
+from plumbline.operators.publish import checked
 from plumbline.operators.scorecard import Banded, Condition, Lookup, Scorecard
 from plumbline.operators.validate import ColumnRule, Contract, assert_valid, check_storable
 from plumbline.spec import PortfolioSpec
@@ -190,9 +191,8 @@ def derive(df: DataFrame, spec: PortfolioSpec = LOAN_SPEC) -> DataFrame:
     return dv.missing_flags(out, spec.watched, spec.missing_prefix)
 
 
-def loan_contract(labelled: bool = False, requests: bool = False) -> Contract:
-    """The promises of a prepared table; scoring uses the unlabelled one and never needs the outcome. Requests may share one id and
-    carry columns of their own."""
+def loan_columns(labelled: bool = False) -> tuple[ColumnRule, ...]:
+    """What each column of a prepared table promises."""
     counts = (
         "total_otros_prestamos", "cant_creditosvigentes", "huella_consulta",
         "creditos_sectorFinanciero", "creditos_sectorCooperativo", "creditos_sectorReal",
@@ -225,11 +225,17 @@ def loan_contract(labelled: bool = False, requests: bool = False) -> Contract:
     ]
     if labelled:
         rules.append(ColumnRule("Pago_atiempo", T.BooleanType()))
+    return tuple(rules)
+
+
+def loan_contract(labelled: bool = False, requests: bool = False) -> Contract:
+    """The promises of a prepared table; scoring uses the unlabelled one and never needs the outcome. Requests may share one id and
+    carry columns of their own."""
     return Contract(
-        columns=tuple(rules),
+        columns=loan_columns(labelled),
         row_rules={
             "saldo_principal_no_supera_total": F.col("saldo_principal") <= F.col("saldo_total"),
-            # dates, not instants: a loan disbursed later today is not in the future
+            # compared by day, so any hour of the current day passes
             "fecha_prestamo_no_es_futura": F.to_date("fecha_prestamo") <= F.current_date(),
         },
         key=() if requests else ("cliente_id",),
@@ -238,16 +244,19 @@ def loan_contract(labelled: bool = False, requests: bool = False) -> Contract:
 
 
 def prepare_features(raw: DataFrame, check: bool = True, requests: bool = True) -> DataFrame:
-    """Clean, derive and validate; the outcome is dropped if present. requests=False also holds a table to its key and its columns."""
+    """Clean, derive and validate; the outcome is dropped if present. Requests are checked row by row as they pass. requests=False holds a
+    table to its key and its columns too: it is written, checked by that write and read back."""
     out = derive(clean(raw.drop(LOAN_SPEC.target)))
-    return assert_valid(out, loan_contract(requests=requests)) if check else out
+    if not check:
+        return out
+    return assert_valid(out, loan_contract(requests=True)) if requests else checked(out, loan_contract(), "features")
 
 
 def prepare_labelled(raw: DataFrame, check: bool = True) -> DataFrame:
     if LOAN_SPEC.target not in raw.columns:
         raise ValueError(f"the labelled table needs {LOAN_SPEC.target}")
     out = derive(clean(raw))
-    return assert_valid(out, loan_contract(labelled=True)) if check else out
+    return checked(out, loan_contract(labelled=True), "labelled") if check else out
 
 
 def build_feature_table(prepared: DataFrame, spec: PortfolioSpec = LOAN_SPEC) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import finite
-from plumbline.functions.pvalues import p_binomial, p_chi2, p_ks, p_normal, p_student
+from plumbline.functions.pvalues import KS_EXACT, p_binomial, p_chi2, p_ks_two_sample, p_normal, p_student
 from plumbline.operators import ranking
 from plumbline.operators.profile import group_rate, long_levels, long_values
 from plumbline.operators.ranking import merge_rows, null_safe_join
@@ -87,11 +87,14 @@ def bivariate_rank(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
     )
 
 
-def ks_test(df: DataFrame, col: str, y: str) -> DataFrame:
-    """Two-sample KS distance between the outcome classes with its limiting p-value."""
-    k = ranking.ks_two_sample(df, col, y)
-    n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
-    return k.withColumn("p_value", p_ks(F.col("ks") * F.sqrt(n1 * n0 / (n1 + n0))))
+def ks_test(df: DataFrame, col: str, y: str, by: Sequence[str] = (), method: str = "limit") -> DataFrame:
+    """Two-sample KS distance between the outcome classes with its p-value, for the table or each group: limit for the limit law, exact for
+    lattice paths that know the runs of equal values, auto for the exact law up to KS_EXACT values a class."""
+    if method == "limit":
+        k = ranking.ks_two_sample(df, col, y, by)
+        return k.withColumn("p_value", p_ks_two_sample(F.col("ks"), F.col("n1"), F.col("n0"), method=method))
+    k = ranking.ks_two_sample(df, col, y, by, runs_up_to=KS_EXACT)
+    return k.withColumn("p_value", p_ks_two_sample(F.col("ks"), F.col("n1"), F.col("n0"), F.col("ends"), method)).drop("ends")
 
 
 def missing_effect_stats(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.columns import finite
-from plumbline.functions.pvalues import p_chi2, p_ks
+from plumbline.functions.pvalues import p_chi2, p_ks_two_sample
 from plumbline.operators import ranking
 from plumbline.operators.ranking import null_safe_join
 
@@ -84,20 +84,23 @@ def categorical_drift_stats(reference: DataFrame, current: DataFrame, cols: Sequ
     return g
 
 
-def drift_report(reference: DataFrame, current: DataFrame, spec: DriftSpec = DriftSpec(), exclude: Sequence[str] = ()) -> DataFrame:
+def drift_report(reference: DataFrame, current: DataFrame, spec: DriftSpec = DriftSpec(), exclude: Sequence[str] = (), numeric_test: str = "by_size") -> DataFrame:
     """(column, method, value, threshold, drifted) for every shared column that can be tested.
 
-    Numeric columns use KS below the sample-size cutoff of the reference table and the normalised
-    distance from it on; categorical ones use chi-square.
+    Numeric columns use the named test: ks (its p-value is exact for samples of up to KS_EXACT values), wasserstein (the normalised distance),
+    or by_size, KS below the sample-size cutoff of the reference table and the distance from it on. Categorical ones use chi-square.
     """
+    if numeric_test not in ("by_size", "ks", "wasserstein"):
+        raise ValueError(f"unknown numeric test {numeric_test!r}")
     numeric, categorical = shared_columns(reference, current, exclude)
     parts = []
     if numeric:
-        size = reference.agg(F.count("*").alias("n")).scalar()
         st = numeric_drift_stats(reference, current, numeric)
-        small = size < spec.numeric_sample_size_cutoff
-        n1, n0 = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
-        p = p_ks(F.col("ks") * F.sqrt(n1 * n0 / (n1 + n0)))
+        if numeric_test == "by_size":
+            small = reference.agg(F.count("*").alias("n")).scalar() < spec.numeric_sample_size_cutoff
+        else:
+            small = F.lit(numeric_test == "ks")
+        p = p_ks_two_sample(F.col("ks"), F.col("n_reference"), F.col("n_current"))
         parts.append(
             st.withColumn("_p", p).withColumn("_small", small).select(
                 "column", F.when(F.col("_small"), "ks").otherwise("wasserstein").alias("method"),

@@ -151,6 +151,9 @@ def fit_candidate(train: DataFrame, candidate: Candidate, spec: PortfolioSpec, y
         model = build_estimator(candidate.kind, candidate.params, n, seed).fit(data)
     finally:
         data.unpersist()
+    if candidate.kind == "forest":
+        # the training summary holds the session, which cannot travel to tasks once a query was observed
+        model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
     return FittedModel(candidate, engineer, scaler, model, engineer.output)
 
 

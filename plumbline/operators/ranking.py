@@ -170,10 +170,15 @@ def curve_points(
 
 def ks_two_sample(
     df: DataFrame, value: str | Column, side: str | Column, by: Sequence[str] = (),
-    buckets: Buckets | None = None,
+    buckets: Buckets | None = None, runs_up_to: int | None = None,
 ) -> DataFrame:
-    """KS distance and area between the two empirical CDFs of side 1 and side 0, one row per group."""
+    """KS distance and area between the two empirical CDFs of side 1 and side 0, one row per group. With runs_up_to, groups of up to so many
+    values a side also get `ends`: how many pooled values stand up to the end of each run of equal ones."""
     cum = cumulative_counts(df, value, side, by, buckets)
+    ends = []
+    if runs_up_to is not None:
+        few = (F.col("tot_pos") <= runs_up_to) & (F.col("tot_n") - F.col("tot_pos") <= runs_up_to)
+        ends = [F.collect_list(F.when(few, F.col("cum_n"))).alias("ends")]
     f1 = F.try_divide(F.col("cum_pos").cast("double"), F.col("tot_pos").cast("double"))
     f0 = F.try_divide(
         (F.col("cum_n") - F.col("cum_pos")).cast("double"), (F.col("tot_n") - F.col("tot_pos")).cast("double")
@@ -183,7 +188,7 @@ def ks_two_sample(
         F.max(gap).alias("ks"),
         F.sum(gap * F.coalesce(F.col("next_score") - F.col("score"), F.lit(0.0))).alias("area"),
         F.max("tot_pos").alias("n1"),
-        F.max(F.col("tot_n") - F.col("tot_pos")).alias("n0"),
+        F.max(F.col("tot_n") - F.col("tot_pos")).alias("n0"), *ends,
     )
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.operators import drift, health, scoring
-from plumbline.plans.book import book, table, with_book
+from plumbline import loan
+from plumbline.operators import drift, health, scorecard, scoring
+from plumbline.plans.book import book, raw_loans, table, with_book, with_loans
+from plumbline.plans.evaluation import TOTAL_POINTS
 from plumbline.plans.fitted import BOOK_SPEC, CUT, FEATURES, KEY, LOGISTIC, windows
 from plumbline.plans.registry import query
+from plumbline.session import ensure_checkpoint_dir
 from plumbline.sources import log as plog
 from plumbline.sources import readers
 
@@ -224,6 +229,37 @@ def batch_scoring(spark, d):
     return out.groupBy("review_flag").agg(F.count("*").alias("n"), F.avg("probability_default").alias("p"), F.count_if("review_flag_at_custom_threshold").alias("what_if"))
 
 
+def _store(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/plumbline-models-{uuid.uuid4().hex}"
+
+
+@query("stored_model_scores", with_book("SELECT CAST(1 AS INT) AS version, count(*) AS n, 0.0::DOUBLE AS max_abs_difference, 0.25::DOUBLE AS threshold FROM book WHERE month >= '2000-01'"))
+def stored_model_scores(spark, d):
+    """A fitted model is saved with its frozen threshold, loaded by another session and scores the held-out rows as the fitted one does."""
+    from plumbline.operators import models, store
+
+    train, test = windows(spark, d)
+    model = models.fit_candidate(train, models.Candidate("logistic", "logistic", {"C": 0.08686, "max_iter": 5}, scale=True), BOOK_SPEC, "defaulted", FEATURES)
+    root = _store(spark)
+    store.save(spark, root, "logistic", model, 0.25, {"cut": "2000-01"})
+    got = store.load(spark.newSession(), root, "logistic")
+    both = got.model.score(model.score(test, "fitted"), "loaded")
+    return both.agg(F.lit(got.version).alias("version"), F.count("*").alias("n"), F.max(F.abs(F.col("fitted") - F.col("loaded"))).alias("max_abs_difference"), F.lit(got.threshold).alias("threshold"))
+
+
+@query("stored_card_requests", with_loans(f"SELECT cliente_id AS application_id, CAST({TOTAL_POINTS} AS INT) AS points, {TOTAL_POINTS} >= 3 AS review_flag, CAST(3 AS DOUBLE) AS threshold, {TOTAL_POINTS} >= 6 AS review_flag_at_custom_threshold FROM loans"))
+def stored_card_requests(spark, d):
+    """Raw requests, without the outcome and the columns that serving defaults fill, through the stored card: cleaned, derived, checked, scored."""
+    from plumbline.operators import store
+
+    root = _store(spark)
+    store.save(spark, root, "loans", loan.LOAN_CARD, 3)
+    got = store.load(spark.newSession(), root, "loans", cards={"loans": loan.LOAN_CARD})
+    requests = raw_loans(spark, d).withColumnRenamed("cliente_id", "application_id").drop("Pago_atiempo", "saldo_mora_codeudor", "total_otros_prestamos", "creditos_sectorReal")
+    prepare = lambda r: loan.prepare_features(loan.serving_frame(r))
+    return scoring.score_batch(requests, prepare, lambda r: scorecard.score_card(r, got.model), got.threshold, custom_threshold=6, name="points")
+
+
 # --- streams over files, run to the end of the available input ---
 
 

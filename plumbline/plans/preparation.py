@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline import loan
 from plumbline.functions import columns as C
-from plumbline.operators import clean, derive, profile, validate
+from plumbline.operators import clean, derive, profile, publish, validate
 from plumbline.plans.book import book, raw_loans, table, with_book, with_loans
 from plumbline.plans.registry import query
+from plumbline.session import ensure_checkpoint_dir
+from plumbline.sources import paths
 from plumbline.spec import entity_frame, features, uncovered_columns, view
 
 RATE_SQL = """{rate} AS rate,
@@ -208,14 +212,17 @@ def contract_violations(spark, d):
     return validate.validate(table(spark, d, "orders"), _orders_contract())
 
 
+ORDER_COLUMNS = (
+    validate.ColumnRule("o_orderkey", T.LongType(), ge=1),
+    validate.ColumnRule("o_totalprice", T.DoubleType(), gt=1000, le=450_000),
+    validate.ColumnRule("o_orderstatus", T.StringType(), isin=("F", "O")),
+    validate.ColumnRule("o_orderpriority", T.StringType(), pattern=r"^[1-4]-"),
+)
+
+
 def _orders_contract() -> validate.Contract:
     return validate.Contract(
-        columns=(
-            validate.ColumnRule("o_orderkey", T.LongType(), ge=1),
-            validate.ColumnRule("o_totalprice", T.DoubleType(), gt=1000, le=450_000),
-            validate.ColumnRule("o_orderstatus", T.StringType(), isin=("F", "O")),
-            validate.ColumnRule("o_orderpriority", T.StringType(), pattern=r"^[1-4]-"),
-        ),
+        columns=ORDER_COLUMNS,
         row_rules={
             "future": F.to_date("o_orderdate") <= F.current_date(),
             "low priority below 300k": (F.col("o_orderpriority") != "5-LOW") | (F.col("o_totalprice") <= 300_000),
@@ -270,7 +277,7 @@ def strict_schema(spark, d):
     falta_edad_cliente, falta_salario_cliente, falta_tendencia_ingresos, falta_saldo_total FROM loans"""))
 def prepared_loans(spark, d):
     """The whole clean + derive chain over raw text-typed loans."""
-    out = loan.prepare_labelled(raw_loans(spark, d), check=False)
+    out = loan.prepare_labelled(raw_loans(spark, d))
     return out.select(
         "cliente_id", "tipo_credito", "capital_prestado", "plazo_meses", "edad_cliente", "tipo_laboral", "salario_cliente", "puntaje",
         "puntaje_datacredito", "saldo_mora", "saldo_total", "saldo_principal", "promedio_ingresos_datacredito", "tendencia_ingresos",
@@ -279,30 +286,80 @@ def prepared_loans(spark, d):
         "falta_tendencia_ingresos", "falta_saldo_total")
 
 
-@query("loan_contract_report", with_loans("""
-  SELECT * FROM (VALUES
-    ('capital_prestado', 'ge', (SELECT count(*) FROM loans WHERE capital_prestado < 360000)),
-    ('edad_cliente', 'le', (SELECT count(*) FROM loans WHERE edad_cliente > 100)),
-    ('tipo_credito', 'isin', (SELECT count(*) FROM loans WHERE tipo_credito NOT IN ('4','9','10','Otro'))),
-    ('promedio_ingresos_datacredito', 'gt', (SELECT count(*) FROM loans WHERE promedio_ingresos_datacredito <= 0)),
-    ('*', 'saldo_principal_no_supera_total', (SELECT count(*) FROM loans WHERE saldo_principal > saldo_total)),
-    ('*', 'fecha_prestamo_no_es_futura', (SELECT count(*) FROM loans WHERE CAST(fecha_prestamo AS DATE) > current_date))
-  ) AS t("column", "rule", n_bad)"""))
+def rule_counts_sql(columns, key: str, source: str, row_rules: dict[str, str]) -> str:
+    """(column, rule, n_bad) of every rule of a contract; row_rules gives the condition of each row rule in SQL."""
+    bad = {}
+    for r in columns:
+        c = f'"{r.name}"'
+        said = {
+            "not_null": None if r.nullable else f"{c} IS NULL", "ge": r.ge is not None and f"{c} < {r.ge}", "gt": r.gt is not None and f"{c} <= {r.gt}",
+            "le": r.le is not None and f"{c} > {r.le}", "isin": r.isin and f"{c} NOT IN ({', '.join(repr(v) for v in r.isin)})",
+            "pattern": r.pattern and f"NOT regexp_matches({c}, '{r.pattern}')",
+        }
+        bad |= {(r.name, k): v for k, v in said.items() if v}
+    bad |= {("*", k): f"NOT ({v})" for k, v in row_rules.items()}
+    counts = ", ".join(f"count(*) FILTER (WHERE {v}) AS c{i}" for i, v in enumerate(bad.values()))
+    rows = ", ".join(f"{{'column': '{c}', 'rule': '{r}', 'n_bad': c{i}}}" for i, (c, r) in enumerate(bad))
+    return (f"WITH rules AS (SELECT unnest([{rows}]) AS r FROM (SELECT {counts} FROM {source})) SELECT r.\"column\" AS \"column\", r.rule AS rule, CAST(r.n_bad AS BIGINT) AS n_bad FROM rules "
+            f"UNION ALL SELECT '*', 'key', (SELECT count(*) FROM (SELECT 1 FROM {source} GROUP BY {key} HAVING count(*) > 1))")
+
+
+LOAN_ROW_RULES = {"saldo_principal_no_supera_total": "saldo_principal <= saldo_total", "fecha_prestamo_no_es_futura": "CAST(fecha_prestamo AS DATE) <= current_date"}
+
+
+@query("loan_contract_report", with_loans(rule_counts_sql(loan.loan_columns(labelled=True), "cliente_id", "loans", LOAN_ROW_RULES)))
 def loan_contract_report(spark, d):
-    report = validate.validate(loan.prepare_labelled(raw_loans(spark, d), check=False), loan.loan_contract(labelled=True))
-    shown = [("capital_prestado", "ge"), ("edad_cliente", "le"), ("tipo_credito", "isin"), ("promedio_ingresos_datacredito", "gt"),
-             ("*", "saldo_principal_no_supera_total"), ("*", "fecha_prestamo_no_es_futura")]
-    keep = F.lit(False)
-    for c, r in shown:
-        keep = keep | ((F.col("column") == c) & (F.col("rule") == r))
-    return report.where(keep)
+    """Every rule of the contract, counted by the write that publishes the table."""
+    prepared = loan.prepare_labelled(raw_loans(spark, d), check=False)
+    return publish.publish(prepared, loan.loan_contract(labelled=True), _shared(spark, "loans")).to_frame(spark)
+
+
+def _shared(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/plumbline-{name}-{uuid.uuid4().hex}"
+
+
+ORDER_ROW_RULES = {"future": "CAST(o_orderdate AS DATE) <= current_date", "low priority below 300k": "o_orderpriority <> '5-LOW' OR o_totalprice <= 300000"}
+SOUND_ORDER = "o_orderkey >= 1 AND o_totalprice > 1000 AND o_totalprice <= 450000 AND o_orderstatus IN ('F', 'O') AND regexp_matches(o_orderpriority, '^[1-4]-') AND (o_orderpriority <> '5-LOW' OR o_totalprice <= 300000)"
+
+
+@query("published_orders", f"""
+  SELECT o_orderstatus, '{{}}' AS rules, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE {SOUND_ORDER} GROUP BY 1
+  UNION ALL SELECT o_orderstatus, '*', count(*), round(sum(o_totalprice), 2) FROM orders WHERE NOT ({SOUND_ORDER}) GROUP BY 1""", digits=2)
+def published_orders(spark, d):
+    """One write puts sound orders in the published table and the others, with their broken rules, in quarantine."""
+    o = table(spark, d, "orders")
+    path, aside = _shared(spark, "orders"), _shared(spark, "orders-quarantine")
+    publish.publish(o, _loose_orders(o), path, quarantine=aside)
+    good = spark.read.schema(o.schema).parquet(path).withColumn("broken_rules", F.lit("{}"))
+    bad = publish.quarantined(spark, o, aside).withColumn("broken_rules", F.when(F.size("broken_rules") > 0, "*"))
+    return good.unionByName(bad).groupBy("o_orderstatus", F.col("broken_rules").alias("rules")).agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
+
+
+def _loose_orders(o) -> validate.Contract:
+    """The contract of orders, open to the columns it does not name."""
+    c = _orders_contract()
+    return validate.Contract(c.columns, c.row_rules, c.key, strict=False)
+
+
+@query("refused_publication", rule_counts_sql(ORDER_COLUMNS, "o_orderkey", "(SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 100 = 0)", ORDER_ROW_RULES))
+def refused_publication(spark, d):
+    """Orders with planted copies: the write counts every rule and finds the repeated keys, and nothing is published."""
+    o = table(spark, d, "orders")
+    path = _shared(spark, "refused")
+    try:
+        publish.publish(o.unionByName(o.where(F.col("o_orderkey") % 100 == 0)), _loose_orders(o), path)
+    except publish.ContractBroken as broken:
+        if paths.exists(spark, path):
+            raise ValueError("a refused table was published") from broken
+        return broken.verdict.to_frame(spark)
+    raise ValueError("a broken table was published")
 
 
 @query("feature_table", with_loans("""
   SELECT cliente_id, fecha_prestamo, tipo_credito, capital_prestado, edad_cliente, rango_edad, round(dti, 6) AS dti, falta_saldo_mora FROM loans"""))
 def feature_table(spark, d):
     """The stored feature table: key, event time and features, never the label or withheld columns."""
-    t = loan.build_feature_table(loan.prepare_features(raw_loans(spark, d), check=False))
+    t = loan.build_feature_table(loan.prepare_features(raw_loans(spark, d), requests=False))
     if uncovered_columns(t, loan.LOAN_SPEC):
         raise ValueError(f"views do not cover the table: {uncovered_columns(t, loan.LOAN_SPEC)}")
     return t.select("cliente_id", F.col("fecha_prestamo").cast("timestamp_ntz").alias("fecha_prestamo"), "tipo_credito", "capital_prestado",
@@ -314,20 +371,20 @@ def feature_table(spark, d):
     round(ratio_ingreso_declarado_bureau, 6) AS ratio_ingreso_declarado_bureau, round(creditos_por_anio_adulto, 6) AS creditos_por_anio_adulto,
     tiene_mora_bureau, rango_edad FROM loans"""))
 def feature_view_projection(spark, d):
-    t = view(loan.prepare_features(raw_loans(spark, d), check=False), "credito_derivadas", loan.LOAN_SPEC)
+    t = view(loan.prepare_features(raw_loans(spark, d), requests=False), "credito_derivadas", loan.LOAN_SPEC)
     return t.withColumn("fecha_prestamo", F.col("fecha_prestamo").cast("timestamp_ntz"))
 
 
 @query("entity_frame", with_loans("SELECT cliente_id, fecha_prestamo FROM loans"))
 def entity_frame_query(spark, d):
-    t = entity_frame(loan.prepare_features(raw_loans(spark, d), check=False), loan.LOAN_SPEC)
+    t = entity_frame(loan.prepare_features(raw_loans(spark, d), requests=False), loan.LOAN_SPEC)
     return t.withColumn("fecha_prestamo", F.col("fecha_prestamo").cast("timestamp_ntz"))
 
 
 @query("leakage_safe_view", with_loans("""
   SELECT falta_edad_cliente, falta_salario_cliente, tipo_laboral, count(*) AS n FROM loans GROUP BY ALL"""))
 def leakage_safe_view(spark, d):
-    t = features(loan.prepare_labelled(raw_loans(spark, d), check=False), loan.LOAN_SPEC)
+    t = features(loan.prepare_labelled(raw_loans(spark, d)), loan.LOAN_SPEC)
     return t.groupBy("falta_edad_cliente", "falta_salario_cliente", "tipo_laboral").agg(F.count("*").alias("n"))
 
 

@@ -204,6 +204,31 @@ def ks_statistic(spark, d):
     return ranking.ks_two_sample(book(spark, d), "price", "defaulted").withColumn("area", F.round("area", 4))
 
 
+KS_EXACT_SQL = """
+  WITH RECURSIVE v AS (SELECT n_regionkey AS region, floor(s_acctbal / 1000) AS x, s_suppkey % 2 AS side FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+  g AS (SELECT region, x, sum(side) AS p, count(*) AS n FROM v GROUP BY 1, 2),
+  c AS (SELECT region, x, sum(p) OVER w AS cp, sum(n) OVER w AS cn, sum(p) OVER r AS n1, sum(n) OVER r - sum(p) OVER r AS n0 FROM g
+    WINDOW w AS (PARTITION BY region ORDER BY x), r AS (PARTITION BY region)),
+  k AS (SELECT region, CAST(max(n1) AS BIGINT) AS n1, CAST(max(n0) AS BIGINT) AS n0, max(abs(cp / n1 - (cn - cp) / n0)) AS ks, list(cn) AS ends FROM c GROUP BY 1),
+  walk AS (
+    SELECT region, n1, n0, ks, ends, CAST(round(ks * n1 * n0) AS BIGINT) AS reach, CAST(0 AS BIGINT) AS t,
+      list_transform(range(0, n1 + 1), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS p, 0.0::DOUBLE AS hit FROM k
+    UNION ALL
+    SELECT region, n1, n0, ks, ends, reach, t + 1,
+      list_transform(range(0, n1 + 1), lambda i: CASE WHEN list_contains(ends, t + 1) AND abs(i * n0 - (t + 1 - i) * n1) >= reach THEN 0.0::DOUBLE ELSE q[i + 1] END),
+      hit + list_sum(list_transform(range(0, n1 + 1), lambda i: CASE WHEN list_contains(ends, t + 1) AND abs(i * n0 - (t + 1 - i) * n1) >= reach THEN q[i + 1] ELSE 0.0::DOUBLE END))
+    FROM (SELECT *, list_transform(range(0, n1 + 1), lambda i: (p[i + 1] * greatest(n0 - t + i, 0) + coalesce(p[i], 0) * (n1 - i + 1)) / (n1 + n0 - t)) AS q FROM walk WHERE t < n1 + n0))
+  SELECT region, round(ks, 6) AS ks, n1, n0, round(least(hit, 1), 6) AS p_value FROM walk WHERE t = n1 + n0"""
+
+
+@query("ks_exact_by_region", KS_EXACT_SQL)
+def ks_exact_by_region(spark, d):
+    """Balances of suppliers with odd and even keys in each region, in thousands, so that values tie: a few hundred rows take the exact law."""
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = s.select(F.col("n_regionkey").alias("region"), F.floor(F.col("s_acctbal") / 1000).cast("double").alias("x"), (F.col("s_suppkey") % 2).cast("int").alias("side"))
+    return association.ks_test(rows, "x", "side", ["region"], "auto").select("region", "ks", "n1", "n0", "p_value")
+
+
 @query("ks_test", with_book(KS_SQL.format(v="price", y="defaulted", src="book") + """, k AS (SELECT max(abs(f1 - f0)) AS ks, sum(abs(f1 - f0) * coalesce(nx - s, 0)) AS area, sum(p) AS n1, sum(q) AS n0 FROM c),
   x AS (SELECT *, ks * sqrt(n1 * n0 / (n1 + n0)) AS z FROM k)
   SELECT round(ks, 6) AS ks, round(area, 4) AS area, CAST(n1 AS BIGINT) AS n1, CAST(n0 AS BIGINT) AS n0,
