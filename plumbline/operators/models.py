@@ -13,13 +13,12 @@ from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from plumbline.operators import evaluate
+from plumbline.operators import evaluate, isotonic
 from plumbline.operators.engineer import EngineerState, ScalerState, apply_engineer, apply_scaler, fit_engineer, fit_scaler
 from plumbline.operators.ranking import null_safe_join
 from plumbline.spec import PortfolioSpec
@@ -228,46 +227,39 @@ def evaluate_candidate(
 def calibrate(df: DataFrame, score: str, y: str, key: Sequence[str], k: int = 5, method: str = "isotonic", seed: int = 0) -> Callable[[DataFrame], DataFrame]:
     """Learns k calibrators, each on the rows outside one hashed fold, and returns a function that adds
     `calibrated`: the mean of the k predictions."""
-    folded = df.withColumn("_f", F.pmod(F.xxhash64(*[F.col(c) for c in key], F.lit(seed)), F.lit(k)))
+    fold = F.pmod(F.xxhash64(*[F.col(c) for c in key], F.lit(seed)), F.lit(k))
+    if method == "isotonic":
+        # a row teaches every fold's calibrator but its own
+        others = df.select(F.col(score).cast("double").alias("_s"), F.col(y).cast("double").alias("_y"), fold.alias("_own"))
+        others = others.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).where("fold <> _own")
+        pools = isotonic.fit(others.groupBy("fold", "_s", "_y").agg(F.count("*").alias("_n")), "_s", "_y", ["fold"], weight="_n")
+        return lambda frame, name="calibrated": _isotonic_mean(frame, score, pools, k, name)
+    if method != "sigmoid":
+        raise ValueError(f"unknown calibration method {method!r}")
+    folded = df.withColumn("_f", fold)
     models = []
     for i in range(k):
         part = folded.where(F.col("_f") != i).select(F.col(score).cast("double").alias("_s"), F.col(y).cast("double").alias("_y"))
-        if method == "isotonic":
-            # equal scores collapse first: the regression sees one weighted row per distinct score
-            g = part.groupBy("_s").agg(F.avg("_y").alias("_m"), F.count("*").cast("double").alias("_w"))
-            m = IsotonicRegression(featuresCol="_s", labelCol="_m", weightCol="_w").fit(g)
-            models.append((list(m.boundaries.toArray()), list(m.predictions.toArray())))
-        elif method == "sigmoid":
-            data = VectorAssembler(inputCols=["_s"], outputCol="_x").transform(part)
-            m = LogisticRegression(featuresCol="_x", labelCol="_y", regParam=0.0, standardization=False).fit(data)
-            models.append((float(m.coefficients[0]), float(m.intercept)))
-        else:
-            raise ValueError(f"unknown calibration method {method!r}")
+        data = VectorAssembler(inputCols=["_s"], outputCol="_x").transform(part)
+        m = LogisticRegression(featuresCol="_x", labelCol="_y", regParam=0.0, standardization=False).fit(data)
+        models.append((float(m.coefficients[0]), float(m.intercept)))
 
     def apply(frame: DataFrame, name: str = "calibrated") -> DataFrame:
         s = F.col(score).cast("double")
         total = F.lit(0.0)
-        for m in models:
-            if method == "sigmoid":
-                total = total + 1 / (1 + F.exp(-(F.lit(m[0]) * s + F.lit(m[1]))))
-            else:
-                total = total + _interpolate(s, *m)
+        for slope, level in models:
+            total = total + 1 / (1 + F.exp(-(F.lit(slope) * s + F.lit(level))))
         return frame.withColumn(name, F.when(s.isNotNull(), total / k))
 
     return apply
 
 
-def _interpolate(s, xs: list[float], ys: list[float]):
-    """Piecewise-linear reading of an isotonic fit, constant outside its range."""
-    from plumbline.functions.columns import bucket_index
-
-    if len(xs) == 1:
-        return F.lit(ys[0])
-    i = F.least(F.greatest(bucket_index(s, xs), F.lit(1)), F.lit(len(xs) - 1))
-    ax, ay = F.array(*[F.lit(float(v)) for v in xs]), F.array(*[F.lit(float(v)) for v in ys])
-    x0, x1, y0, y1 = F.element_at(ax, i), F.element_at(ax, i + 1), F.element_at(ay, i), F.element_at(ay, i + 1)
-    share = F.least(F.greatest(F.coalesce(F.try_divide(s - x0, x1 - x0), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    return y0 + (y1 - y0) * share
+def _isotonic_mean(frame: DataFrame, score: str, pools: DataFrame, k: int, name: str) -> DataFrame:
+    """Adds the mean of what the k fits tell at each score. The fits are read once for each distinct score, and rows take it by their score."""
+    s = F.col(score).cast("double") + 0.0
+    asked = frame.select(s.alias("_s")).distinct().withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    told = isotonic.read_at(asked, "_s", pools, ["fold"], "_v").groupBy("_s").agg(F.avg("_v").alias(name))
+    return frame.withColumn("_at", s).join(told, F.col("_at") == F.col("_s"), "left").drop("_at", "_s")
 
 
 def score_with(df: DataFrame, fn: Callable, features: Sequence[str], name: str = "score") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import association, encode, engineer, evaluate, models, split
+from plumbline.operators import association, encode, engineer, evaluate, isotonic, models, split
 from plumbline.operators.smote import smote
 from plumbline.plans.book import BOOK_KEY, book, with_book
 from plumbline.plans.registry import query
@@ -194,6 +194,19 @@ def isotonic_calibration(spark, d):
     return evaluate.calibration_table(z, "calibrated", "defaulted")
 
 
+@query("isotonic_fit", with_book("""
+  WITH p AS (SELECT floor(price / 700) AS x, CAST(sum(defaulted) AS DOUBLE) AS t, CAST(count(*) AS DOUBLE) AS w FROM book GROUP BY 1),
+  c AS (SELECT x, t, w, row_number() OVER (ORDER BY x) AS i, sum(t) OVER (ORDER BY x) AS ct, sum(w) OVER (ORDER BY x) AS cw FROM p),
+  m AS (SELECT a.i AS j, b.i AS k, (b.ct - a.ct + a.t) / (b.cw - a.cw + a.w) AS mean FROM c a JOIN c b ON a.i <= b.i),
+  l AS (SELECT c.i, m.j, min(m.mean) AS low FROM c JOIN m ON m.j <= c.i AND m.k >= c.i GROUP BY 1, 2),
+  f AS (SELECT i, max(low) AS fitted FROM l GROUP BY 1)
+  SELECT x AS score, round(fitted, 6) AS fitted FROM c JOIN f USING (i)"""))
+def isotonic_fit(spark, d):
+    """The fit at every score is the largest of the smallest means of stretches around it; the pools tell the same."""
+    b = book(spark, d).select("defaulted", F.floor(F.col("price") / 700).cast("double").alias("score"))
+    return isotonic.read_at(b, "score", isotonic.fit(b, "score", "defaulted"), name="fitted")
+
+
 @query("platt_calibration", digits=4)
 def platt_calibration(spark, d):
     b = book(spark, d).select(*KEY, "defaulted", (F.col("quantity") / 60).alias("score"))

@@ -29,7 +29,7 @@ def test_injected_shift_is_found(frame, n_ref, method):
     report = {r.column: r for r in drift.drift_report(ref, cur, spec).collect()}
     assert {c: r.method for c, r in report.items() if c in ("income", "load")} == {"income": method, "load": method}
     s = drift.drift_summary(drift.drift_report(ref, cur, spec), spec).first()
-    assert (s.tested, s.drift_share, s.dataset_drift, s.drifted_features) == (4, 0.5, True, ["tier", "load"])
+    assert (s.tested, s.drift_share, s.dataset_drift, s.drifted_features) == (4, 0.5, True, ["load", "tier"])
     top = drift.drift_magnitude(drift.drift_report(ref, cur, spec)).first()
     assert top.magnitude == 20.0 and top.capped
 
