@@ -17,13 +17,13 @@ from plumbline.llm.common import checked_broadcast, columns_of, free_name, mixed
 #: What Kneser-Ney takes from a count of 1, of 2 and of 3 or more. A single count keeps nothing, so its whole mass backs off.
 DISCOUNTS = (1.0, 1.5, 2.0)
 #: The models are fitted on a sample of the labelled rows: about so many of each class at most, and so many characters of them.
-LABELLED_ROWS, LABELLED_CHARS = 20_000, 64_000_000
+LABELLED_ROWS, LABELLED_CHARS = 20_000, 32_000_000
 #: Words of the windows whose strongest one is a feature, and the score from which a document counts as toxic.
 WINDOWS, THRESHOLD = (1, 2, 8, 32), 0.3
 #: Regularisation of the curve, of so many calibration rows' weight.
 CURVE = 3.0
 #: Bytes of text that the kernels work on at once.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 #: What separates words: white space and punctuation, which lower-cased words do not hold.
 SEPARATORS = r"""[\x20\x09-\x0D.,;:!?"()\[\]|*]+"""
 #: The history of a text's first word.
