@@ -16,6 +16,8 @@ from plumbline.llm.common import mixed, offsets, slices, words_of
 
 #: Words of a shingle, least containment of a template, probability that a window which holds a template shares a band with it.
 SHINGLE, CONTAINMENT, SURE = 5, 0.8, 0.9999
+#: Share of its own shingles, those that a related template lacks, with which a match stands beside that template's.
+OWN = 0.5
 #: Notices and permission texts of public licenses, as published.
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
@@ -29,7 +31,11 @@ TEMPLATES = {
            "substantial portions of the Software.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
                     "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
-                    "following disclaimer.",
+                    "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+                    "following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright "
+                    "holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior "
+                    "written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+                    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
                   "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
@@ -44,10 +50,12 @@ TEMPLATES = {
                 "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
                 "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "BSD-2-Clause": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-                    "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
-                    "\"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
-                    "PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+                    "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+                    "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+                    "following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE "
+                    "COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+                    "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
            "above copyright notice and this permission notice appear in all copies.",
     "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
@@ -120,13 +128,14 @@ def notice_runs(notices: dict[str, list[str]]) -> dict[str, list[tuple[list[str]
     return out
 
 
-def noticed(runs: dict[str, list[tuple[list[str], str]]], texts: list[list[str]]) -> Iterator[tuple[str, int, int, float, int]]:
-    """(license, text, first word, 1.0, times) of the notices that stand in texts of plain words."""
+def noticed(runs: dict[str, list[tuple[list[str], str]]], texts: list[list[str]], covered: dict[int, list[tuple[int, int]]]) -> Iterator[tuple[str, int, int, float, int]]:
+    """(license, text, first word, 1.0, times) of the notices that stand in texts of plain words, but for those within the words of a
+    longer match (covered: text -> first and end word)."""
     for t, words in enumerate(texts):
         found: dict[str, set[int]] = {}
         for i in [i for i, w in enumerate(words) if w in runs]:
             for said, license in runs[words[i]]:
-                if words[i:i + len(said)] == said:
+                if words[i:i + len(said)] == said and not any(lo <= i and i + len(said) <= hi for lo, hi in covered.get(t, ())):
                     found.setdefault(license, set()).add(i)
         for license, places in found.items():
             yield license, t, min(places), 1.0, len(places)
@@ -214,8 +223,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     stands in it word for word (n_windows: how often); notices are looked for unless other templates are given.
 
     Texts are cut to lower-case words without the punctuation around them, comment marks are no words; windows overlap by half. A window that shares a band with a template is compared exactly: the
-    share of the template's shingles that it holds must reach containment. Of several windows the one that holds most is told, then the
-    first, with the number of those that reach it. Whole texts are scanned; null and empty texts hold nothing; a text shorter than a
+    share of the template's shingles that it holds must reach containment. Where related templates match the same words, the shingles
+    that tell them apart decide (resolved); a notice inside a longer match is not told beside it. Of several windows the one that holds
+    most is told, then the first, with the number of those that reach it. Whole texts are scanned; null and empty texts hold nothing; a text shorter than a
     window is one window; repeated rows are told for each row; a null doc_id stays null. The templates are a short list in the code,
     so each task has all of them.
     """
@@ -232,8 +242,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
                 words = [plain(t) for t in texts]
                 cleaned = [" ".join(w) for w, _ in words]
                 flat, counts = common.shingles(cleaned, SHINGLE)
-                told = {(ix.names[i], t): x for i, t, *x in _verified(ix, flat, counts, containment)}
-                for name, t, *x in noticed(runs, [w for w, _ in words]):
+                told, covered = {}, {}
+                for i, t, windows in resolved(ix, flat, offsets(counts), _matches(ix, flat, counts, containment)):
+                    told[ix.names[i], t] = _best(windows)
+                    covered.setdefault(t, []).extend((place, last + SHINGLE) for _, place, last in windows.values())
+                for name, t, *x in noticed(runs, [w for w, _ in words], covered):
                     told.setdefault((name, t), x)
                 out = [(ids[first + t].as_py(), name, words[t][1][x[0]] if words[t][1] else x[0], *x[1:]) for (name, t), x in told.items()]
                 cols = list(zip(*out)) if out else [()] * 5
@@ -243,15 +256,18 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, license string, first_word long, containment double, n_windows long")
 
 
-def _verified(ix: Index, flat: np.ndarray, counts: np.ndarray, containment: float) -> Iterator[tuple[int, int, int, float, int]]:
-    """(template, text, first word, containment, windows) of what holds exactly."""
+Windows = dict[int, tuple[float, int, int]]  # first shingle -> share of the template, first and last place that hold a shingle of it
+
+
+def _matches(ix: Index, flat: np.ndarray, counts: np.ndarray, containment: float) -> Iterator[tuple[int, int, Windows]]:
+    """(template, text, windows) of what holds exactly; first shingles and places are counted from the text's begin."""
     if not len(flat):
         return
     at = offsets(counts)
     step_of = {i: s for s, own in ix.steps.items() for i in own}
     for i, starts in candidates(ix, flat, counts).items():
         step, want = step_of[i], ix.sets[i]
-        best: dict[int, list] = {}
+        found: dict[int, Windows] = {}
         text = np.searchsorted(at, starts, "right") - 1
         for t, s in zip(text.tolist(), starts.tolist()):
             # the step with the shared value belongs to two windows
@@ -261,10 +277,50 @@ def _verified(ix: Index, flat: np.ndarray, counts: np.ndarray, containment: floa
                 window = flat[lo:min(lo + 2 * step, at[t + 1])]
                 share = len(np.intersect1d(window, want)) / len(want)
                 if share >= containment - 1e-9:
-                    place = int(lo - at[t]) + int(np.flatnonzero(np.isin(window, want))[0])
-                    b = best.setdefault(t, [share, place, set()])
-                    b[2].add(lo)
-                    if (-share, place) < (-b[0], b[1]):
-                        b[0], b[1] = share, place
-        for t, (share, place, windows) in best.items():
-            yield i, t, place, share, len(windows)
+                    places = int(lo - at[t]) + np.flatnonzero(np.isin(window, want))
+                    found.setdefault(t, {})[int(lo - at[t])] = share, int(places[0]), int(places[-1])
+        for t, windows in found.items():
+            yield i, t, windows
+
+
+def _best(windows: Windows) -> tuple[int, float, int]:
+    """(first word, containment, windows) told of a match."""
+    share, place = min((-share, place) for share, place, _ in windows.values())
+    return place, -share, len(windows)
+
+
+def _verified(ix: Index, flat: np.ndarray, counts: np.ndarray, containment: float) -> Iterator[tuple[int, int, int, float, int]]:
+    """(template, text, first word, containment, windows) of what holds exactly."""
+    for i, t, windows in _matches(ix, flat, counts, containment):
+        yield i, t, *_best(windows)
+
+
+def resolved(ix: Index, flat: np.ndarray, at: np.ndarray, matches: Iterator[tuple[int, int, Windows]]) -> Iterator[tuple[int, int, Windows]]:
+    """Matches without the windows that a related template explains better.
+
+    Where windows of two templates share places, each is judged by its own shingles, those that the other lacks. One with at least half
+    of its own stands, so two licenses side by side are both told; below that the one with the larger share of its own stands, then
+    that with the larger containment, then the first by name. A template without shingles of its own is part of the other and goes.
+    """
+    by_text: dict[int, dict[int, Windows]] = {}
+    for i, t, windows in matches:
+        by_text.setdefault(t, {})[i] = windows
+    for t, of in by_text.items():
+        text = flat[at[t]:at[t + 1]]
+        for i, windows in of.items():
+            kept = dict(windows)
+            for j, others in of.items():
+                mine, theirs = np.setdiff1d(ix.sets[i], ix.sets[j]), np.setdiff1d(ix.sets[j], ix.sets[i])
+                if i == j or len(mine) == len(ix.sets[i]):
+                    continue
+                for lo, (share, first, last) in windows.items():
+                    for other, begin, end in others.values():
+                        if lo not in kept or end < first or last < begin:
+                            continue
+                        words = text[min(first, begin):max(last, end) + 1]
+                        own = len(np.intersect1d(words, mine)) / len(mine) if len(mine) else 0.0
+                        its = len(np.intersect1d(words, theirs)) / len(theirs) if len(theirs) else 0.0
+                        if own < OWN and (own, share, -i) < (its, other, -j) or not len(mine) and (len(theirs) or i > j):
+                            del kept[lo]
+            if kept:
+                yield i, t, kept

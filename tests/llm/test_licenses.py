@@ -82,3 +82,33 @@ def test_notices_without_their_marks_and_licenses_in_comments(spark):
     assert all((i, n) in of for i, n in enumerate(said.values())), got
     assert all((100 + k, n) in of and of[100 + k, n].first_word == 3 for k, n in enumerate(long)), got
     assert of[0, "Apache-2.0-notice"].first_word == 4
+
+
+def test_each_text_gives_exactly_its_own_licenses(spark):
+    rng = random.Random(8)
+    fill = lambda n: " ".join("f%d" % rng.randint(0, 10**6) for _ in range(n))
+    rows, want = [], {}
+
+    def add(text, *names):
+        want[len(rows)] = sorted(names)
+        rows.append((len(rows), text))
+
+    for name, said in licenses.TEMPLATES.items():
+        w = said.split()
+        add(said, name)
+        add(f"{fill(37)} {said} {fill(300)}", name)
+        for mark in ("#", "*", "//"):
+            add("/*\n" + "".join(f" {mark} " + " ".join(w[i:i + 7]) + "\n" for i in range(0, len(w), 7)) + " */ " + fill(9), name)
+        if len(w) > 60:  # a word that no template tells apart by
+            add(" ".join([*w[:3], "edited", *w[4:]]), name)
+    numbered = licenses.TEMPLATES["BSD-3-Clause"].replace("met: Redis", "met: 1. Redis").replace("disclaimer. Redis", "disclaimer. 2. Redis").replace("tion. Neither", "tion. 3. Neither")
+    add(numbered, "BSD-3-Clause")
+    add(numbered.replace(numbered[numbered.index("3. Neither"):numbered.index("THIS SOFT")], ""), "BSD-2-Clause")
+    for pair in (("GPL-3.0", "LGPL-3.0"), ("GPL-2.0", "GPL-3.0"), ("AGPL-3.0", "GPL-3.0"), ("LGPL-2.1", "LGPL-3.0"), ("BSD-2-Clause", "BSD-3-Clause"), ("Apache-2.0", "MIT")):
+        for gap in (0, 5, 400):
+            add(f"{licenses.TEMPLATES[pair[0]]} {fill(gap)} {licenses.TEMPLATES[pair[1]]}", *pair)
+    add(licenses.TEMPLATES["Apache-2.0"] + " " + fill(500) + " Licensed under the Apache License, Version 2.0.", "Apache-2.0", "Apache-2.0-notice")
+    got = {i: [] for i in want}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        got[r.doc_id].append(r.license)
+    assert {i: (rows[i][1][:60], sorted(g), want[i]) for i, g in got.items() if sorted(g) != want[i]} == {}
