@@ -7,7 +7,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,8 @@ SHARD_IDS = 1_000_000
 LEAST_PAIRS, LEAST_GAIN = 4, 0.005
 #: Bits of the table in which a round counts pairs.
 TABLE_BITS = 18
-#: Words whose ids a task remembers.
-CACHED_WORDS = 600_000
+#: Words whose ids a task remembers, and characters that it encodes at once.
+CACHED_WORDS, ENCODED_CHARS = 400_000, 500_000
 #: Characters that a task encodes: the fewer tasks, the fewer words are learned again.
 TASK_CHARS = 40_000_000
 _ASCII = re.compile("[a-z]+[.,]?")
@@ -62,12 +62,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least_pairs: int = LE
         owner = np.zeros(slots, np.uint64)
         owner[slot] = key
         fits = (owner[slot] == key) & ~last[:-1]
-        counts = np.bincount(slot[fits], minlength=slots)
-        rank = np.where(fits, counts[slot], 0)
+        counts = np.bincount(slot[fits], minlength=slots).astype(np.int32)
+        rank = counts[slot]
+        rank[~fits] = 0
         rank[rank < least_pairs] = 0
         # a place is chosen if no neighbour outranks it; of equal neighbours the left one
-        left, right = np.r_[0, rank[:-1]], np.r_[rank[1:], 0]
-        at = np.flatnonzero((rank > left) & (rank >= right))
+        best = np.ones(len(rank), bool)
+        best[1:] = rank[1:] > rank[:-1]
+        best[0] = rank[0] > 0
+        best[:-1] &= rank[:-1] >= rank[1:]
+        at = np.flatnonzero(best)
         if not len(at):
             break
         used = np.bincount(slot[at], minlength=slots)
@@ -178,12 +182,16 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self._clear()
-
-    def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64)
 
+    def _forget(self) -> None:
+        """Keeps the half of the words that was learned first, which holds most of the frequent ones."""
+        kept = self.cached // 2
+        self.known = dict(islice(self.known.items(), kept))
+        self.lengths = self.lengths[:kept].copy()
+        self.flat = self.flat[:int(self.lengths.sum())].copy()
+
     @staticmethod
     def _pre_tokens(word: str) -> int:
         """1 for lower-case letters alone, 2 for these and one mark after them, 0 for what is not plain."""
@@ -217,7 +225,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
         if len(self.known) > self.cached:
-            self._clear()
+            self._forget()
         per_text = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
         new = list(set().union(*per_text).difference(self.known))
         if new:
@@ -267,7 +275,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
 
         for batch in batches:
             names = batch.column(batch.schema.get_field_index("doc_id"))
-            for first, texts in slices(batch):
+            for first, texts in slices(batch, chars=ENCODED_CHARS):
                 ids, counts = encoder.encode(texts)
                 whole = np.insert(ids, np.cumsum(counts), end_id).astype(np.uint32)
                 held.append((names.slice(first, len(texts)).to_pylist(), whole, counts + 1))
