@@ -42,7 +42,7 @@ class Grammar:
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least_pairs: int = LEAST_PAIRS, least_gain: float = LEAST_GAIN) -> Grammar:
     """Re-Pair in rounds: count adjacent pairs, replace the frequent ones where they do not overlap (the more frequent pair wins,
-    then the left one), until a round gains little. ends marks the last id of each document; no pair crosses it, so every document
+    of equally frequent ones that with the larger slot, of one pair in a row the left one), until a round gains little. ends marks the last id of each document; no pair crosses it, so every document
     starts and ends at a symbol.
 
     A round counts in a hashed table: each slot stands for one pair and counts that pair only. Pairs that lose their slot have
@@ -62,10 +62,10 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least_pairs: int = LE
         owner = np.zeros(slots, np.uint64)
         owner[slot] = key
         fits = (owner[slot] == key) & ~last[:-1]
-        counts = np.bincount(slot[fits], minlength=slots).astype(np.int32)
-        rank = counts[slot]
+        counts = np.bincount(slot[fits], minlength=slots)
+        # copies of a passage give runs of equally frequent pairs: the slot, a hash, decides between them
+        rank = np.where(counts >= least_pairs, counts << TABLE_BITS | np.arange(slots), 0)[slot]
         rank[~fits] = 0
-        rank[rank < least_pairs] = 0
         # a place is chosen if no neighbour outranks it; of equal neighbours the left one
         best = np.ones(len(rank), bool)
         best[1:] = rank[1:] > rank[:-1]

@@ -53,3 +53,23 @@ def test_grammar_expands_to_what_it_was_made_of(seed):
     assert set(np.flatnonzero(last) + 1) <= set(ends)  # documents end at symbols
     for lo, hi in [(0, 1), (3, 700), (len(ids) - 2, len(ids)), (5, 5), (900, 10**9)]:
         assert np.array_equal(repair.expand(g, lo, hi), ids[lo:hi])
+
+
+def test_copies_of_a_passage_are_replaced_whole():
+    """All pairs of a repeated passage are equally frequent, and still rounds go on until the passage is one symbol or a few."""
+    passage = np.random.default_rng(3).permutation(40_000)[:3000]
+    ids = np.tile(passage, 50)
+    last = np.zeros(len(ids), bool)
+    last[2999::3000] = True
+    g = repair.compress(ids, last, 40_000)
+    assert len(g.sequence) <= 4 * 50 and g.lengths.max() >= 1000 and np.array_equal(repair.expand(g), ids)
+
+
+def test_words_are_remembered_in_bounds_and_encoded_alike_after_some_are_forgotten():
+    rng = np.random.default_rng(5)
+    e, whole = repair.WordEncoder(FILE, cached=60), repair.WordEncoder(FILE)
+    for _ in range(12):
+        texts = [" ".join("w%dx" % i for i in rng.integers(0, 400, 30)) for _ in range(4)]
+        for got, want in zip(e.encode(texts), whole.encode(texts)):
+            assert got.tolist() == want.tolist()
+        assert len(e.known) <= 60 + 120 and len(e.known) == len(e.lengths) and len(e.flat) == e.lengths.sum()
