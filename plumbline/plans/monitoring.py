@@ -310,3 +310,31 @@ def stream_drift(spark, d):
     cur = _event_stream(spark, d).select("value", "event_type")
     judge(cur, _event_log(spark, d, "<").drop("review_flag"), f"{path}/verdicts", f"{path}/state", available_now=True).awaitTermination()
     return spark.read.parquet(f"{path}/verdicts").select("verdict", "tested", "drift_share", "dataset_drift")
+
+
+EDGES = "(SELECT list_sort(list_distinct(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) FROM events WHERE ts < TIMESTAMP '2024-01-16')"
+HISTORY_SQL = f"""
+  WITH cells AS (SELECT ts, 'value' AS "column", len(list_filter({EDGES}, lambda e: value > e)) AS bin FROM events UNION ALL SELECT ts, 'event_type', ascii(event_type) * 1000 + ascii(substr(event_type, 2)) FROM events),
+    r AS (SELECT "column", bin, count(*) AS r FROM cells WHERE ts < TIMESTAMP '2024-01-16' GROUP BY 1, 2),
+    w AS (SELECT date_trunc('day', ts) AS start, "column", bin, count(*) AS c FROM cells GROUP BY 1, 2, 3),
+    grid AS (SELECT s.start, r."column", r.bin, r.r, coalesce(w.c, 0) AS c FROM (SELECT DISTINCT start FROM w) s CROSS JOIN r LEFT JOIN w ON w.start = s.start AND w."column" = r."column" AND w.bin = r.bin),
+    t AS (SELECT *, sum(r) OVER p AS nr, sum(c) OVER p AS nc, abs(sum(c) OVER o / sum(c) OVER p - sum(r) OVER o / sum(r) OVER p) AS gap FROM grid
+      WINDOW p AS (PARTITION BY start, "column"), o AS (PARTITION BY start, "column" ORDER BY bin))
+  SELECT start, "column", CAST(max(nc) AS BIGINT) AS n, round(sum(power(c - r * nc / nr, 2) / (r * nc / nr)), 4) AS chi2, CAST(count(*) - 1 AS INT) AS dof,
+    round(sum((greatest(c, 0.5) / nc - r / nr) * ln((greatest(c, 0.5) / nc) / (r / nr))), 4) AS psi, CASE WHEN "column" = 'value' THEN round(max(gap), 4) END AS ks
+  FROM t GROUP BY 1, 2"""
+
+
+@query("stream_drift_history", HISTORY_SQL, digits=4)
+def stream_drift_history(spark, d):
+    """The events as a stream of several files: cumulative counts per day and column against the profile of the first half, stored once."""
+    from plumbline.streaming import history
+
+    path = _scratch(spark, "history")
+    events = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("at"), "event_id", "value", "event_type")
+    history.store_profile(_event_log(spark, d, "<").drop("review_flag"), f"{path}/profile")
+    events.repartition(4, F.pmod("event_id", F.lit(4))).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    history.stream_drift_history(stream, f"{path}/profile", f"{path}/out", f"{path}/state", "at", "1 day", delay="60 days", available_now=True).awaitTermination()
+    latest = history.latest_history(spark, f"{path}/out")
+    return latest.select(F.col("start").cast("timestamp_ntz").alias("start"), "column", "n", "chi2", "dof", "psi", "ks")
