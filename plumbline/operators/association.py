@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from plumbline.functions.columns import finite
 from plumbline.functions.pvalues import KS_EXACT, p_binomial, p_chi2, p_ks_two_sample, p_normal, p_student
 from plumbline.operators import ranking
 from plumbline.operators.profile import group_rate, long_levels, long_values
+from plumbline.operators.rankcorr import spearman  # noqa: F401
 from plumbline.operators.ranking import merge_rows, null_safe_join
 
 
@@ -151,49 +151,6 @@ def trend_correlation(trend: DataFrame) -> DataFrame:
     return g.withColumn("p_value", F.when(n > 2, p_student(t, n - 2)))
 
 
-def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(a, b, rho, n) for every pair of columns, on the rows where both are known.
-
-    Columns are ranked through their distinct values. A column without gaps shares one ranking across
-    its pairs; a pair that involves gaps is ranked on its own complete rows.
-    """
-    nulls = df.agg(*[F.count_if(finite(c).isNull()).alias(c) for c in cols]).first()
-    full = [c for c in cols if not nulls[c]]
-    pairs = [(a, b) for a, b in combinations(cols, 2) if nulls[a] or nulls[b]]
-    parts = []
-    if len(full) > 1:
-        rows = df.select(*[finite(c).alias(c) for c in full])
-        for c in full:
-            r = ranking.average_rank(ranking.cumulative_counts(df, finite(c)))
-            mine = r.select(F.col("score").alias(f"_s{c}"), F.col("rank").alias(f"_r{c}"))
-            rows = rows.join(mine, (rows[c] + F.lit(0.0)) == F.col(f"_s{c}"))
-        combos = list(combinations(full, 2))
-        wide = rows.agg(F.count("*").alias("n"), *[F.corr(f"_r{a}", f"_r{b}").alias(f"c{i}") for i, (a, b) in enumerate(combos)])
-        parts.append(wide.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("rho"), F.col("n").alias("n"))
-            for i, (a, b) in enumerate(combos)
-        ]))))
-    if pairs:
-        cells = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pair"), finite(a).alias("x"), finite(b).alias("z")) for i, (a, b) in enumerate(pairs)
-        ]))
-        long = df.select(cells.alias("_p")).select("_p.*").where("x is not null and z is not null")
-
-        def ranked(c: str) -> DataFrame:
-            r = ranking.average_rank(ranking.cumulative_counts(long, c, None, ["pair"]))
-            return r.select("pair", F.col("score").alias(c), F.col("rank").alias(f"_r{c}"))
-
-        both = long.join(ranked("x"), ["pair", "x"]).join(ranked("z"), ["pair", "z"])
-        names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-        g = both.groupBy("pair").agg(F.corr("_rx", "_rz").alias("rho"), F.count("*").alias("n"))
-        label = F.element_at(names, F.col("pair") + 1)
-        parts.append(g.select(label["a"].alias("a"), label["b"].alias("b"), "rho", "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def redundant_pairs(corr: DataFrame, strength: DataFrame, t: float = 0.7) -> DataFrame:
     """Pairs with |rho| >= t and which of the two to keep: the one with more strength (column, strength)."""
     s = strength.select(F.col("column").alias("_c"), F.col("strength").alias("_v"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "plumbline") -> SparkSession:
@@ -37,3 +38,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(target)
     return target
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table written to a new folder below the shared checkpoint folder and read back, which cuts its lineage."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/plumbline-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

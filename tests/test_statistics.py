@@ -47,6 +47,29 @@ def test_spearman_is_pairwise_complete(data):
     assert len(got) == 3 and got == pytest.approx(want)
 
 
+def test_spearman_over_many_gaps_ties_and_repeated_rows(frame):
+    rng = np.random.default_rng(5)
+    base = np.round(rng.normal(size=(300, 1)) + rng.normal(size=(300, 5)), 1)
+    base[rng.random(base.shape) < 0.25] = np.nan
+    base[:, 4] = np.round(rng.normal(size=300))
+    base[100:200] = base[100]  # a third of all rows are one row
+    base[0, 0], base[1, 0], base[2, 1] = 0.0, -0.0, np.nan
+    names = list("abcde")
+    rows = [tuple(None if math.isnan(v) else float(v) for v in r) for r in base] + [(None,) * 5, (None, 1.5, None, None, None), (1.5, None, None, None, None)]
+    pdf = pd.DataFrame(rows, columns=names, dtype=float)
+    got = {(r.a, r.b): (r.rho, r.n) for r in association.spearman(frame(rows, ", ".join(f"{c} double" for c in names)), names).collect()}
+    assert len(got) == 10
+    for (a, b), (rho, n) in got.items():
+        both = pdf[[a, b]].dropna()
+        assert n == len(both) and rho == pytest.approx(both[a].rank().corr(both[b].rank()), abs=1e-12)
+
+
+def test_spearman_of_constants_absent_columns_and_no_rows(frame, spark):
+    df = frame([(1.0, float(i), None) for i in range(5)], "k double, v double, z double")
+    assert {(r.a, r.b): (r.rho, r.n) for r in association.spearman(df, ["k", "v", "z"]).collect()} == {("k", "v"): (None, 5)}
+    assert association.spearman(df.limit(0), ["k", "v", "z"]).collect() == []
+
+
 def test_mann_whitney_and_chi_square(data):
     df, pdf = data
     r = association.mann_whitney(df, ["w"], "y").first()
