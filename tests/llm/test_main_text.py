@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from plumbline.llm import maintext
@@ -54,3 +56,51 @@ def test_elements_that_close_themselves_or_are_never_closed(tree, odd):
 def test_formulas_stay_and_closed_elements_go(tree):
     page = "<article><p>One two <math><mi>a</mi><mo>=</mo><mi>b</mi><annotation encoding='x'>a=b</annotation></math> three.</p><noscript><div>no</div></noscript><script src=/a/>no</script><p>End of it.</article>"
     assert maintext.main_text(page, tree) == "One two a=b three.\n\nEnd of it."
+
+
+def filled(page):
+    """A page in the notation of the labelled ones, its words told apart by what the block is."""
+    word = {"m": "main", "b": "around", "l": "<a href=/x>link"}
+    return re.sub(r"\{([mbl])(\d+)\}", lambda k: " ".join([word[k[1]]] + ["w"] * (int(k[2]) - 1)) + ("</a>" if k[1] == "l" else ""), page)
+
+
+WRAPPED = [
+    "<div class='page no-sidebar'><h1>{m6}</h1><p>{m50}</p><p>{m31}</p></div>",
+    "<div class='story share-enabled'><h1>{m6}</h1><p>{m50}</p><p>{m31}</p></div>",
+    "<div class='legal-guide'><h1>{m6}</h1><p>{m50}</p><p>{m31}</p><p>{m5}</p><p>{m40}</p></div>",
+    "<form id=aspnetForm><div id=top>{l2}</div><div id=main><h1>{m6}</h1><p>{m50}</p><p>{m31}</p></div><nav>{l3}</nav></form>",
+]
+UNMARKED = [
+    "<div id=brand>{b3}</div><article><h1>{m6}</h1><p>{m50}</p></article><div>{b4}</div><p>{l3}</p>",
+    "<div>{b2}</div><div>{l2}</div><div>{l1}</div><h1>{m7}</h1><p>{m44}</p><p>{m5}</p><p>{m61}</p><div>{l3}</div><div>{b4}</div>",
+    "<p>{l2}</p><p>{l1}</p><p>{m70}</p><p>{m12}</p><p>{m33}</p><p>{l4}</p><p>{l6}</p><p>{b2}</p>",
+    "<table><tr><td><p>{l1}</p><p>{l2}</p></td><td><h1>{m5}</h1><p>{m50}</p><p>{m9}</p><p>{m80}</p></td></tr></table><div>{b3}</div>",
+]
+MARKED = [
+    "<h1>{m5}</h1><p>{m60}</p><div class=comments><article class=comment><p>{b120}</p></article><div class=text><p>{b90}</p></div></div>",
+    "<article><h1>{m5}</h1><p>{m60}</p></article><section id=comments><article><p>{b120}</p></article></section>",
+    "<aside class=related><article><p>{b12}</p></article></aside><h1>{m5}</h1><p>{m60}</p><p>{m41}</p>",
+    "<header><h1>{b3}</h1></header><div><h2>{m6}</h2><p>{m44}</p><p>{m39}</p></div><div class=newsletter><p>{b35}</p></div><footer>{b12}</footer>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED + UNMARKED + MARKED)
+def test_pages_outside_the_labelled_table(tree, page):
+    assert page not in maintext.LABELLED
+    want = [b.text for b in maintext.blocks(filled(page)) if b.text.startswith("main")]
+    assert maintext.main_text(filled(page), tree).split("\n\n") == want
+
+
+def test_neighbours_decide_where_nothing_is_marked(tree):
+    def used(node):
+        return set() if isinstance(node, bool) else {maintext.FEATURES[node[0]]} | used(node[2]) | used(node[3])
+
+    assert {"words", "links"} <= used(tree) and len(used(tree) & {"words_before", "links_before", "words_after", "links_after"}) >= 3
+    for page in UNMARKED[1:]:  # nothing here is named: the rule of names alone keeps all or nothing
+        assert not any(b.surround or b.article or b.header for b in maintext.blocks(filled(page)))
+    short = [0.0] * len(maintext.FEATURES)
+    at = maintext.FEATURES.index
+    short[at("words")], short[at("words_before")] = 4.0, 30.0
+    among, last = list(short), list(short)
+    among[at("words_after")], last[at("words_after")], last[at("links_after")] = 30.0, 3.0, 1.0
+    assert maintext.is_main(tree, among) and not maintext.is_main(tree, last)
