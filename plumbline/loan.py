@@ -235,7 +235,7 @@ def loan_contract(labelled: bool = False, requests: bool = False) -> Contract:
         columns=loan_columns(labelled),
         row_rules={
             "saldo_principal_no_supera_total": F.col("saldo_principal") <= F.col("saldo_total"),
-            # compared by day, so any hour of the current day passes
+            # today counts as past at every hour
             "fecha_prestamo_no_es_futura": F.to_date("fecha_prestamo") <= F.current_date(),
         },
         key=() if requests else ("cliente_id",),

@@ -35,13 +35,14 @@ class Entrant:
 def promotion_gate(df: DataFrame, candidate: Entrant, champion: Entrant, y: str, key: Sequence[str], spec: GateSpec = GateSpec()) -> DataFrame:
     """(check, passed, value, detail) rows plus a final `decision` row: promote only when every check passed.
 
-    Metadata checks come first; scores are read only when they hold.
+    Metadata checks come first; scores are read only when they hold, and compared only when none is missing: a gain over the rows that
+    happen to have a score would say nothing.
     """
     spark = df.sparkSession
     schema = "position int, check string, passed boolean, value double, detail string"
     meta = [
-        (0, "meta_has_threshold", candidate.threshold is not None, None, "the candidate carries its frozen threshold"),
-        (1, "same_features", list(candidate.features) == list(champion.features), None, "candidate and champion use the same features"),
+        (0, "meta_has_threshold", candidate.threshold is not None, None, "a threshold was frozen when the candidate was fitted"),
+        (1, "same_features", list(candidate.features) == list(champion.features), None, "both score from one list of features"),
     ]
     checks = spark.createDataFrame(meta, schema)
     if all(m[2] for m in meta):
@@ -62,22 +63,25 @@ def _score_checks(df: DataFrame, candidate: Entrant, champion: Entrant, y: str,
     share = F.avg(F.coalesce(a >= F.lit(candidate.threshold), F.lit(False)).cast("double"))
     fit = candidate.flagged_share_at_fit
     lo, hi = spec.flagged_share_ratio
-    basic = df.agg(bad.alias("bad"), share.alias("share"))
+    seen = df.agg(bad.alias("bad"), share.alias("share")).first()
+    basic = df.sparkSession.createDataFrame([(seen.bad, seen.share)], "bad long, share double")
     in_band = F.lit(False) if fit is None else F.col("share").between(lo * fit, hi * fit)
     base = basic.select(F.inline(F.array(
-        _row(2, "no_missing_scores", F.col("bad") == 0, F.col("bad"), "no missing scores from either model"),
-        _row(3, "flagged_share_in_band", in_band, F.col("share"), f"share flagged at the frozen threshold, expected {lo}-{hi} x {fit}"),
+        _row(2, "no_missing_scores", F.col("bad") == 0, F.col("bad"), "rows that lack a score of either model"),
+        _row(3, "flagged_share_in_band", in_band, F.col("share"), f"flagged at the frozen threshold, allowed {lo} to {hi} times {fit}"),
     )))
+    if seen.bad:
+        return base
     cells = F.explode(F.array(F.struct(F.lit("a").alias("m"), a.alias("s")), F.struct(F.lit("b").alias("m"), b.alias("s"))))
     long = df.select(y, cells.alias("_c")).select(y, "_c.m", "_c.s")
     ap = ranking.average_precision(long, "s", y, ["m"])
     gain = ap.agg((F.max(F.when(F.col("m") == "a", F.col("pr_auc"))) - F.max(F.when(F.col("m") == "b", F.col("pr_auc")))).alias("g"))
     gained = gain.select(F.inline(F.array(
-        _row(4, "pr_auc_gain", F.col("g") >= spec.min_pr_auc_gain, F.col("g"), f"PR-AUC gain, needs at least {spec.min_pr_auc_gain}")
+        _row(4, "pr_auc_gain", F.col("g") >= spec.min_pr_auc_gain, F.col("g"), f"average precision above the champion's, at least {spec.min_pr_auc_gain}")
     )))
     ci = paired_bootstrap(df, candidate.score, champion.score, y, key, ("pr_auc",), spec.replicates, spec.seed, None, spec.confidence)
     excl = ci.select(F.inline(F.array(
-        _row(5, "bootstrap_excludes_zero", F.col("lo") > 0, F.col("lo"), f"{spec.confidence:.0%} paired interval of the PR-AUC difference, needs a lower bound above 0")
+        _row(5, "bootstrap_excludes_zero", F.col("lo") > 0, F.col("lo"), f"lower end of the paired {spec.confidence:.0%} interval of that gain, above 0")
     )))
     return base.unionByName(gained).unionByName(excl)
 

@@ -319,6 +319,20 @@ def promotion_gate(spark, d):
     return gate.promotion_gate(b, cand, gate.Entrant("price", ["price"], None, 0.157), "defaulted", KEY, gate.GateSpec(replicates=100)).drop("position")
 
 
+@query("promotion_gate_missing", with_book("""
+  SELECT x.* FROM (SELECT count(*) FILTER (WHERE quantity <= 6) AS bad, avg(CASE WHEN quantity > 6 AND price >= 60000 THEN 1.0 ELSE 0.0 END) AS share FROM book),
+    LATERAL (SELECT share BETWEEN 0.5 * 0.157 AND 2.0 * 0.157 AS band), LATERAL (
+      SELECT 'meta_has_threshold' AS "check", true AS passed, CAST(NULL AS DOUBLE) AS value, 'a threshold was frozen when the candidate was fitted' AS detail
+      UNION ALL SELECT 'same_features', true, NULL, 'both score from one list of features'
+      UNION ALL SELECT 'no_missing_scores', bad = 0, bad, 'rows that lack a score of either model'
+      UNION ALL SELECT 'flagged_share_in_band', band, round(share, 6), 'flagged at the frozen threshold, allowed 0.5 to 2.0 times 0.157'
+      UNION ALL SELECT 'decision', false, CASE WHEN band THEN 1 ELSE 2 END, 'keep: ' || CASE WHEN band THEN '' ELSE 'flagged_share_in_band, ' END || 'no_missing_scores') x"""))
+def promotion_gate_missing(spark, d):
+    """A candidate that scores no short line: the gate names what is missing and compares nothing."""
+    b = book(spark, d).withColumn("partial", F.when(F.col("quantity") > 6, F.col("price")))
+    return gate.promotion_gate(b, gate.Entrant("partial", ["price"], 60_000, 0.157), gate.Entrant("price", ["price"], None, 0.157), "defaulted", KEY).drop("position")
+
+
 @query("scorecard_weights", with_book("""
   SELECT quantity_band, count(*) AS n, round(avg(defaulted), 6) AS rate, CAST(round_even((avg(defaulted) / (SELECT avg(defaulted) FROM book) - 1) * 40, 0) AS INT) AS points
   FROM book WHERE quantity_band IS NOT NULL GROUP BY 1"""))

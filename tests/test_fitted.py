@@ -134,6 +134,11 @@ def test_gate_promotes_and_keeps_with_reasons(frame):
     assert keep["decision"].detail == "keep: bootstrap_excludes_zero, flagged_share_in_band, pr_auc_gain"
     early = {r.check: r for r in gate.promotion_gate(df, gate.Entrant("s", ["x", "z"]), champ, "y", ["id"], spec).collect()}
     assert set(early) == {"meta_has_threshold", "same_features", "decision"} and not early["decision"].passed
+    for lack in (F.lit(None), F.lit(float("nan"))):
+        some = df.withColumn("neg", F.when(F.col("id") != df.first().id, F.col("neg")).otherwise(lack))
+        gaps = {r.check: r for r in gate.promotion_gate(some, good, champ, "y", ["id"], spec).collect()}
+        assert set(gaps) == {"meta_has_threshold", "same_features", "no_missing_scores", "flagged_share_in_band", "decision"}
+        assert gaps["no_missing_scores"].value == 1 and gaps["decision"].detail == "keep: no_missing_scores"
 
 
 def test_logistic_recovers_the_signal_and_scores_rows_alone(frame):
