@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ TABLE_BITS = 18
 CACHED_WORDS, ENCODED_CHARS = 400_000, 500_000
 #: Characters that a task encodes: the fewer tasks, the fewer words are learned again.
 TASK_CHARS = 40_000_000
-_ASCII = re.compile("[a-z]+[.,]?")
+_MARKS = string.punctuation
 SHARD = "part int, place int, base int, doc_ids binary, doc_ends binary, rule_pairs binary, rule_lengths binary, width int, sequence binary, n_tokens long"
 
 
@@ -54,18 +55,27 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least_pairs: int = LE
     size = np.ones(base, np.uint32)
     slots = 1 << TABLE_BITS
     turn = 0
+    # rounds work in the same memory
+    keys, places, ranks = np.empty(len(seq), "<u8"), np.empty(len(seq), np.uint64), np.empty(len(seq), np.int64)
     while len(seq) > 1:
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        m = len(seq) - 1
+        key, slot = keys[:m], places[:m]
+        halves = key.view("<u4").reshape(-1, 2)
+        halves[:, 0], halves[:, 1] = seq[1:], seq[:-1]
         with np.errstate(over="ignore"):
-            slot = ((key * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * turn & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
+            np.multiply(key, np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * turn & 0xFFFFFFFFFFFFFFFF), out=slot)
+        slot >>= np.uint64(64 - TABLE_BITS)
+        slot = slot.view(np.int64)
         turn += 1
         owner = np.zeros(slots, np.uint64)
         owner[slot] = key
-        fits = (owner[slot] == key) & ~last[:-1]
-        counts = np.bincount(slot[fits], minlength=slots)
+        held = np.take(owner, slot, out=ranks[:m].view(np.uint64), mode="clip")
+        # one slot more is for places that count nothing
+        np.copyto(slot, slots, where=(held != key) | last[:-1])
+        counts = np.bincount(slot, minlength=slots + 1)
+        counts[slots] = 0
         # copies of a passage give runs of equally frequent pairs: the slot, a hash, decides between them
-        rank = np.where(counts >= least_pairs, counts << TABLE_BITS | np.arange(slots), 0)[slot]
-        rank[~fits] = 0
+        rank = np.take(np.where(counts >= least_pairs, counts << TABLE_BITS | np.arange(slots + 1), 0), slot, out=ranks[:m], mode="clip")
         # a place is chosen if no neighbour outranks it; of equal neighbours the left one
         best = np.ones(len(rank), bool)
         best[1:] = rank[1:] > rank[:-1]
@@ -176,8 +186,7 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer, self.cached = Tokenizer.from_file(tokenizer_file), cached
-        self.simple = Tokenizer.from_file(tokenizer_file)
-        self.simple.normalizer = None
+        self.simple = Tokenizer(self.tokenizer.model)
         self.simple.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -193,27 +202,51 @@ class WordEncoder:
         self.flat = self.flat[:int(self.lengths.sum())].copy()
 
     @staticmethod
-    def _pre_tokens(word: str) -> int:
-        """1 for lower-case letters alone, 2 for these and one mark after them, 0 for what is not plain."""
-        if _ASCII.fullmatch(word):
-            return 2 if word[-1] < "a" else 1
-        body = word[:-1] if word[-1:] in (".", ",") else word
-        plain = body.isalpha() and body == body.lower() and (body.isascii() or unicodedata.is_normalized("NFC", body))
-        return (1 if body is word else 2) if plain else 0
+    def _letters(words: pa.Array) -> np.ndarray:
+        """Which words are lower-case letters alone: one pre-token each, which the normaliser leaves as it is."""
+        plain = np.array(pc.and_(pc.ascii_is_alpha(words), pc.ascii_is_lower(words)).to_numpy(zero_copy_only=False), bool)
+        other = np.flatnonzero(~plain)
+        plain[other] = [w.isalpha() and w == w.lower() and unicodedata.is_normalized("NFC", w) for w in words.take(pa.array(other)).to_numpy(zero_copy_only=False)]
+        return plain
+
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words))))
+        self.flat, self.lengths = np.concatenate([self.flat, ids]), np.concatenate([self.lengths, lengths])
 
     def _learn(self, words: list[str]) -> None:
-        n = np.fromiter(map(self._pre_tokens, words), np.int64, len(words))
-        plain, odd = [words[i] for i in np.flatnonzero(n)], [words[i] for i in np.flatnonzero(n == 0)]
-        apart = [w if k == 1 else f"{w[:-1]} {w[-1]}" for w, k in zip(plain, n[n > 0].tolist())]
-        lines = [" ".join(apart[i:i + 200]) for i in range(0, len(apart), 200)]
+        column = pa.array(words, pa.large_string())
+        marks = (pc.binary_length(pc.ascii_rtrim(column, characters=_MARKS)).to_numpy() == 0) & (pc.binary_length(column).to_numpy() > 0)
+        one = self._letters(column) | marks
+        plain, odd = [words[i] for i in np.flatnonzero(one)], [words[i] for i in np.flatnonzero(~one)]
+        lines = [" ".join(plain[i:i + 200]) for i in range(0, len(plain), 200)]
         lists = [e.ids for i in range(0, len(lines), 100) for e in self.simple.encode_batch_fast(lines[i:i + 100], add_special_tokens=False)]
         ids = np.fromiter(chain.from_iterable(lists), np.uint32)
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        last = ends[np.cumsum(n[n > 0]) - 1] if plain else ends
+        self._add(plain, ids, np.diff(np.flatnonzero(self.closes[ids]) + 1, prepend=0))
         lists = [e.ids for i in range(0, len(odd), 20_000) for e in self.tokenizer.encode_batch_fast(odd[i:i + 20_000], add_special_tokens=False)]
-        self.known.update(zip(plain + odd, range(len(self.known), len(self.known) + len(words))))
-        self.flat = np.concatenate([self.flat, ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
-        self.lengths = np.concatenate([self.lengths, np.diff(last, prepend=0), np.fromiter(map(len, lists), np.int64, len(lists))])
+        self._add(odd, np.fromiter(chain.from_iterable(lists), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists)))
+
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words in a row, and how many each has. Marks after letters are a pre-token of their own, so neither is
+        learned again for each of the other."""
+        body = pc.ascii_rtrim(words, characters=_MARKS)
+        size = pc.binary_length(body).to_numpy()
+        ends = np.flatnonzero((size > 0) & (size < pc.binary_length(words).to_numpy()))
+        ends = ends[self._letters(body.take(pa.array(ends)))]
+        first = words.to_numpy(zero_copy_only=False)
+        letters = body.take(pa.array(ends)).to_numpy(zero_copy_only=False)
+        tails = [w[len(b):] for w, b in zip(first[ends], letters)]
+        first[ends] = letters
+        parts = [*first.tolist(), *tails]
+        code = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+        new = [parts[i] for i in np.flatnonzero(code < 0)]
+        if new:
+            self._learn(list(dict.fromkeys(new)))
+            code[code < 0] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        starts = np.cumsum(self.lengths) - self.lengths
+        whole, tail = np.split(code, [len(first)])
+        code, own = np.insert(whole, ends + 1, tail), np.insert(np.ones(len(whole), bool), ends + 1, False)
+        n = self.lengths[code]
+        return gathered(self.flat, starts[code], n), np.add.reduceat(n, np.flatnonzero(own))
 
     @staticmethod
     def _lower(text: str) -> str:
@@ -226,16 +259,15 @@ class WordEncoder:
         """The ids of all texts in a row, and how many each has."""
         if len(self.known) > self.cached:
             self._forget()
-        per_text = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*per_text).difference(self.known))
-        if new:
-            self._learn(new)
-        starts = np.cumsum(self.lengths) - self.lengths
-        counts = np.fromiter(map(len, per_text), np.int64, len(per_text))
-        codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(per_text)), np.int64, int(counts.sum()))
-        n = self.lengths[codes]
+        lines = pa.array([self._lower(t).replace("\n", " ") for t in texts], pa.large_string())
+        words = pc.split_pattern(lines, " ")
+        counts = pc.list_value_length(words).to_numpy().astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        flat, lengths = self._ids(coded.dictionary)
+        codes = coded.indices.to_numpy()
+        n = lengths[codes]
         per = np.diff(offsets(n)[offsets(counts)])
-        return gathered(self.flat, starts[codes], n), per
+        return gathered(flat, (np.cumsum(lengths) - lengths)[codes], n), per
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, shard_ids: int = SHARD_IDS) -> None:

@@ -41,6 +41,19 @@ def test_words_encoded_apart_are_the_text_encoded_whole():
         assert ids.tolist() == [i for t in texts for i in plain_ids(t)[:-1]]
 
 
+def test_letters_and_the_marks_after_them_are_learned_apart():
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = ["abc abc. abc, abc!? \u00e9t\u00e9*** \u00e9t\u00e9. .,", "e\u0301! \u0130. abc's abc's. a1. 'll, don't! <|endoftext|>. </w> a</w>", " ".join(f"w{a}{b} {a}{b} {a}w{b}" for a in marks for b in marks), "x.\0 x\u00b2. \u2019. \u03a3. A. "]
+    e = repair.WordEncoder(FILE)
+    e.encode(texts[:1])
+    assert sorted(e.known) == sorted(["abc", ".", ",", "!?", "\u00e9t\u00e9", "***", ".,"])
+    for _ in range(2):
+        ids, counts = e.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain_ids(t)[:-1] for t in texts]
+    # what is learned has one number each
+    assert sorted(e.known.values()) == list(range(len(e.lengths))) and len(e.flat) == e.lengths.sum()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_grammar_expands_to_what_it_was_made_of(seed):
     rng = np.random.default_rng(seed)
