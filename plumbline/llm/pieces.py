@@ -116,46 +116,58 @@ def agenda(v: Vocabulary, unit: str, key: int, dropout: float) -> list[int]:
     return out
 
 
-def _rows(v: Vocabulary, units: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """agenda() for many units of like length: one merge of every unit at a time. The ids in a row, and how many each unit has."""
+def _rows(v: Vocabulary, distinct: list[str], which: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """agenda() for many units of like length, distinct[which]: one merge of every unit at a time. The ids in a row, and how many each
+    unit has. What the skips do not change, symbols and the ranks of their pairs, is looked up once for each distinct unit."""
     limit = np.uint64(int(dropout * (1 << 53)))
-    n, width = len(units), max(map(len, units))
-    count = np.fromiter(map(len, units), np.int32, n)
-    code = np.frombuffer("".join([u.ljust(width, "\x01") for u in units]).encode("utf-32-le"), "<u4").reshape(n, width)
-    distinct, inv = np.unique(code, return_inverse=True)
-    sym = np.array([v.symbol.get(chr(c), v.unknown) for c in distinct], np.int32)[inv.reshape(n, width)]
+    n, width = len(which), max(map(len, distinct))
+    sizes = np.fromiter(map(len, distinct), np.int32, len(distinct))
+    count = sizes[which]
+    code = np.frombuffer("".join([u.ljust(width, "\x01") for u in distinct]).encode("utf-32-le"), "<u4").reshape(len(distinct), width)
+    chars, inv = np.unique(code, return_inverse=True)
+    spelling = np.array([v.symbol.get(chr(c), v.unknown) for c in chars], np.int32)[inv.reshape(len(distinct), width)]
+    sym = spelling[which]
     col = np.arange(width, dtype=np.int16)
-    start = np.broadcast_to(col, (n, width)).copy()
-    end = start + np.int16(1)
+    # the part at column i ends where that at column i + 1 starts
+    start = np.broadcast_to(np.arange(width + 1, dtype=np.int16), (n, width + 1)).copy()
     rows = np.arange(n)
     final, left, first = np.zeros((n, width), np.int32), np.zeros(n, np.int32), np.zeros((n, width), np.int16)
 
+    def taken(key, a, b, c):
+        """Whether pairs from place a to b to c are not skipped."""
+        with np.errstate(over="ignore"):
+            return (mixed(key + a * np.uint64(_C1) + b * np.uint64(_C2) + c * np.uint64(_C3)) >> np.uint64(11)) >= limit
+
     def ranks(r, i):
         """Rank of the pair at columns i, i + 1 of rows r; skipped pairs have none."""
-        with np.errstate(over="ignore"):
-            h = mixed(keys[r] + start[r, i].astype(np.uint64) * np.uint64(_C1) + start[r, i + 1].astype(np.uint64) * np.uint64(_C2) + end[r, i + 1].astype(np.uint64) * np.uint64(_C3))
-        return np.where((h >> np.uint64(11)) >= limit, v.find(sym[r, i], sym[r, i + 1]), _NONE)
+        a, b, c = (start[r, i + k].astype(np.uint64) for k in range(3))
+        return np.where(taken(keys[r], a, b, c), v.find(sym[r, i], sym[r, i + 1]), _NONE)
 
     rank = np.full((n, width), _NONE)
     if width > 1:
-        r, i = np.nonzero(col[None, 1:] < count[:, None])
-        rank[r, i] = ranks(r, i)
+        pairs = np.full((len(distinct), width), _NONE)
+        r, i = np.nonzero(col[None, 1:] < sizes[:, None])
+        pairs[r, i] = v.find(spelling[r, i], spelling[r, i + 1])
+        r, i = np.nonzero((pairs != _NONE)[which])
+        at = i.astype(np.uint64)
+        rank[r, i] = np.where(taken(keys[r], at, at + np.uint64(1), at + np.uint64(2)), pairs[which[r], i], _NONE)
     while len(rows):
         at = rank.argmin(1)
         best = rank[np.arange(len(rows)), at]
         stop = best == _NONE
         if stop.any():
-            final[rows[stop]], left[rows[stop]], first[rows[stop]] = sym[stop], count[stop], start[stop]
+            final[rows[stop]], left[rows[stop]], first[rows[stop]] = sym[stop], count[stop], start[stop, :width]
             go = ~stop
-            rows, sym, start, end, rank, at, best, count, keys = (x[go] for x in (rows, sym, start, end, rank, at, best, count, keys))
+            rows, sym, start, rank, at, best, count, keys = (x[go] for x in (rows, sym, start, rank, at, best, count, keys))
             if not len(rows):
                 break
         r = np.arange(len(rows))
         sym[r, at] = v.of_rank[best]
-        end[r, at] = end[r, at + 1]
         # the right part goes, what stands after it moves up
-        src = np.minimum(col[None, :] + (col[None, :] > at[:, None]), width - 1) + (r * width)[:, None]
-        sym, start, end, rank = (x.reshape(-1)[src] for x in (sym, start, end, rank))
+        moves = col[None, :] > at[:, None]
+        for x in (sym, rank):
+            np.copyto(x[:, :-1], x[:, 1:], where=moves[:, :-1])
+        np.copyto(start[:, :-1], start[:, 1:], where=moves)
         count = count - 1
         rank[r, np.maximum(count - 1, 0)] = _NONE
         for i, ok in ((at - 1, at > 0), (at, at < count - 1)):
@@ -166,32 +178,39 @@ def _rows(v: Vocabulary, units: list[str], keys: np.ndarray, dropout: float) ->
     odd = np.flatnonzero(((final >= v.size) & inside).any(1))
     if not len(odd):
         return final[inside], left.astype(np.int64)
-    spelled = {k: [x for j in range(left[k]) for x in v.spelled(int(final[k, j]), units[k][first[k, j]])] for k in odd.tolist()}
+    spelled = {k: [x for j in range(left[k]) for x in v.spelled(int(final[k, j]), distinct[which[k]][first[k, j]])] for k in odd.tolist()}
     parts = [np.array(spelled[k], np.int32) if k in spelled else final[k, :left[k]] for k in range(n)]
     return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, n)
 
 
-def segment(v: Vocabulary, units: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(flat, starts, lengths): the ids of each unit under its key. A line feed and a literal mark are spelled in bytes, so that they
-    come back; long units and those with several blanks, whose merges rank alike, go through the agenda one by one."""
+def segment(v: Vocabulary, units: list[str], keys: np.ndarray, dropout: float, which: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(flat, starts, lengths): the ids of each of units[which] (without which, of all units) under its key. A line feed and a literal
+    mark are spelled in bytes, so that they come back; long units and those with several blanks, whose merges rank alike, go through
+    the agenda one by one."""
+    which = np.arange(len(units)) if which is None else which
     sizes = np.fromiter(map(len, units), np.int64, len(units))
-    starts, lengths = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
-    alone = [i for i, u in enumerate(units) if u[:1] == "\n" or u[:2] == MARK + MARK or len(u) > LONGEST_ROW]
+    alone = np.fromiter((u[:1] == "\n" or u[:2] == MARK + MARK for u in units), bool, len(units)) | (sizes > LONGEST_ROW)
+    starts, lengths = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
     flat, at = [np.empty(0, np.int32)], 0
-    for i in alone:
-        u = units[i]
+    for i in np.flatnonzero(alone[which]).tolist():
+        u = units[which[i]]
         ids = [v.byte_id[b] for b in u[-1].encode()] if u[:1] == "\n" else agenda(v, u, int(keys[i]), dropout)
         starts[i], lengths[i] = at, len(ids)
         flat.append(np.array(ids, np.int32))
         at += len(ids)
     sizes[alone] = 0
-    order = np.argsort(sizes, kind="stable")
-    lo = int(np.searchsorted(sizes[order], 1))
+    by_size = np.argsort(sizes, kind="stable")
+    place = np.empty(len(units), np.int32)
+    place[by_size] = np.arange(len(units))
+    order = np.argsort(place[which], kind="stable")
+    ordered = sizes[which[order]]
+    lo = int(np.searchsorted(ordered, 1))
     while lo < len(order):
-        first = int(sizes[order[lo]])
-        hi = min(lo + 20_000, int(np.searchsorted(sizes[order], first + max(1, first // 5), "right")))
+        first = int(ordered[lo])
+        hi = min(lo + 20_000, int(np.searchsorted(ordered, first + max(1, first // 5), "right")))
         part = order[lo:hi]
-        ids, n = _rows(v, [units[i] for i in part.tolist()], keys[part], dropout)
+        places = place[which[part]]
+        ids, n = _rows(v, [units[i] for i in by_size[places[0]:places[-1] + 1].tolist()], places - places[0], keys[part], dropout)
         starts[part], lengths[part] = at + np.cumsum(n) - n, n
         flat.append(ids)
         at += len(ids)
@@ -256,10 +275,14 @@ class Encoder:
         if not units:
             return np.empty(0, np.int32), counts
         codes, distinct = pd.factorize(np.array(units, dtype=object))
-        hashes = pd.util.hash_array(distinct, categorize=False)
+        hashes = pd.util.hash_array(distinct, categorize=False)[codes]
+        if any("\0" in t for t in texts):  # at which factorize ends a unit
+            number: dict[str, int] = {}
+            codes = np.fromiter((number.setdefault(u, len(number)) for u in units), np.int64, len(units))
+            distinct = np.array(list(number), dtype=object)
         if self.dropout:
             places = np.arange(len(units)) - np.repeat(offsets(counts)[:-1], counts)
-            flat, starts, lengths = segment(self.v, units, self.key(np.repeat(np.asarray(variants), counts), hashes[codes], places), self.dropout)
+            flat, starts, lengths = segment(self.v, distinct.tolist(), self.key(np.repeat(np.asarray(variants), counts), hashes, places), self.dropout, codes)
         else:
             if len(self.known) > self.cached:
                 self._clear()

@@ -69,3 +69,18 @@ def test_each_occurrence_of_a_word_has_skips_of_its_own(vocabulary):
             word = []
         word.append(i)
     assert len(ways | {tuple(word)}) > 4
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.3, 1.0])
+def test_occurrences_share_what_skips_do_not_change(vocabulary, monkeypatch, dropout):
+    units = list(dict.fromkeys(u for t in [*TEXTS, "x▁y"] for u in pieces.Encoder.units(t)))
+    which = np.random.default_rng(3).permutation(np.repeat(np.arange(len(units)), 40))
+    keys = pieces.Encoder(MODEL).key(np.arange(len(which)), pd.util.hash_array(np.array(units, dtype=object), categorize=False)[which])
+    asked, find = [], pieces.Vocabulary.find
+    monkeypatch.setattr(pieces.Vocabulary, "find", lambda self, a, b: asked.append(len(a)) or find(self, a, b))
+    flat, starts, lengths = pieces.segment(vocabulary, units, keys, dropout, which)
+    if dropout == 1.0:  # nothing is merged: each pair of each distinct unit is looked up once
+        assert sum(asked) <= sum(len(u) - 1 for u in units)
+    for w, k, s, n in zip(which, keys, starts, lengths):
+        if units[w][0] != "\n":
+            assert flat[s:s + n].tolist() == pieces.agenda(vocabulary, units[w], int(k), dropout)
