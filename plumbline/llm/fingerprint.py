@@ -47,18 +47,17 @@ def fingerprint(text: Column, bins: int = BINS, bits: int = BITS) -> Column:
     def packed(hashes: Column) -> Column:
         least = F.filter(hashes, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(hashes, i - 1))))
 
-        def filled(m: Column) -> Column:
-            full = F.transform(m, bin_of)
-
+        def filled(m: Column, full: Column) -> Column:
             def value(b: Column) -> Column:
-                own = F.array_position(F.element_at(F.array(full), 1), b).cast("int")
-                lent = F.get(m, F.array_min(F.transform(m, lambda h, i: F.struct(F.xxhash64(b, bin_of(h)).alias("o"), i.alias("i"))))["i"])
+                own = F.array_position(full, b).cast("int")
+                lent = F.get(m, F.array_min(F.transform(full, lambda f, i: F.struct(F.xxhash64(b, f).alias("o"), i.alias("i"))))["i"])
                 return let(own, lambda at: F.when(at > 0, F.get(m, at - 1)).otherwise(lent))
 
             codes = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")), value)
             return F.array_join(F.transform(codes, lambda h: F.lpad(F.lower(F.hex(h.bitwiseAND(F.lit((1 << bits) - 1)))), digits, "0")), "")
 
-        return F.when(F.size(least) > 0, let(least, filled)).otherwise(F.lit(""))
+        # the bins of a text are named once, not once for each bin that looks for its own
+        return let(least, lambda m: F.when(F.size(m) > 0, let(F.transform(m, bin_of), lambda full: filled(m, full))).otherwise(F.lit("")))
 
     return let(shingle_hashes(text), packed)
 
@@ -67,8 +66,10 @@ def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column
     """The estimated Jaccard similarity of two fingerprints. Unlike bins agree in their low bits by chance once in 2^bits, which is
     taken out: (share - c) / (1 - c), at least 0. Two texts without words are alike (1), one of them is like no other (0)."""
     digits, chance = bits // 4, 2.0 ** -bits
+    # of bytes, a place is found without counting the characters before it
     cut = lambda s, i: F.substring(s, i * digits + 1, F.lit(digits))
-    same = F.size(F.filter(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: cut(a, i) == cut(b, i)))
+    alike = lambda x, y: F.filter(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: cut(x, i) == cut(y, i))
+    same = F.size(let(a.cast("binary"), lambda x: let(b.cast("binary"), lambda y: alike(x, y))))
     share = (same / F.lit(float(bins)) - chance) / (1 - chance)
     return (F.when((a == "") & (b == ""), 1.0).when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), share)))
 

@@ -52,3 +52,24 @@ def test_texts_without_words_are_like_each_other_alone(spark):
     df = spark.createDataFrame([("", " "), ("", "a b"), ("a", "a")], "a string, b string")
     got = [r[0] for r in df.select(fp.likeness(fp.fingerprint(F.col("a")), fp.fingerprint(F.col("b")))).collect()]
     assert got == [1.0, 0.0, 1.0]
+
+
+def test_bins_by_brute_force_and_named_once(spark):
+    texts = ["", "one", "a b c d e f g", " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(2000))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    order = {(r.a, r.b): r.o for r in spark.range(128).select(F.col("id").alias("a")).crossJoin(spark.range(128).select(F.col("id").alias("b"))).select("a", "b", F.xxhash64("a", "b").alias("o")).collect()}
+    for r in df.select(fp.shingle_hashes(F.col("text")).alias("hashes"), fp.fingerprint(F.col("text")).alias("got")).collect():
+        least = {}
+        for h in r.hashes:
+            least.setdefault((h & (1 << 64) - 1) >> 57, h)
+        codes = [least[b if b in least else min(least, key=lambda f: order[b, f])] & 255 for b in range(128)] if least else []
+        assert r.got == "".join(f"{c:02x}" for c in codes)
+    # twice to find the least of each bin, once for the bins that are full: not again for each bin that looks for its own
+    assert df.select(fp.fingerprint(F.col("text")).alias("x"))._jdf.queryExecution().analyzed().toString().lower().count("shiftrightunsigned") == 3
+
+
+def test_likeness_counts_equal_bins(spark):
+    a = "".join(f"{i:02x}" for i in range(128))
+    rows = [(a, "".join(f"{i if i % 4 else 255 - i:02x}" for i in range(128)), 96), (a, a[2:] + "ff", 0), (a, a[:-2] + "aa", 127), (a, "aa" + a[2:], 127)]
+    got = spark.createDataFrame([r[:2] for r in rows], "a string, b string").select(fp.likeness(F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in got] == pytest.approx([max(0.0, (n / 128 - 1 / 256) / (1 - 1 / 256)) for _, _, n in rows])
