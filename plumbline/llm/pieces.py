@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import gathered, mixed, offsets, slices
+from plumbline.llm.common import SLICE_CHARS, gathered, mixed, offsets, slices
 
 #: The mark that stands for a blank in pieces.
 MARK = "\u2581"
@@ -314,16 +314,17 @@ def encode_documents(docs: DataFrame, model_file: str, seed: int = 7, dropout: f
     return round_trip(docs, model_file, seed, dropout, variants, check=False).select("doc_id", "variant", "ids")
 
 
-def round_trip(docs: DataFrame, model_file: str, seed: int = 7, dropout: float = DROPOUT, variants: int = VARIANTS, check: bool = True) -> DataFrame:
+def round_trip(docs: DataFrame, model_file: str, seed: int = 7, dropout: float = DROPOUT, variants: int = VARIANTS, check: bool = True, chars: int = SLICE_CHARS) -> DataFrame:
     """(doc_id, variant, n_ids, ids, lossless): the ids of encode_documents, decoded again in the same pass; lossless says whether
-    that gave the text back (null without check)."""
+    that gave the text back (null without check). A task encodes about so many chars at once: fewer take less memory and a little more
+    time, the ids are the same."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = Encoder(model_file, seed, dropout, variants)
         for batch in batches:
             names = batch.column(batch.schema.get_field_index("doc_id"))
             which = batch.column(batch.schema.get_field_index("variant")).to_numpy()
-            for first, texts in slices(batch):
+            for first, texts in slices(batch, chars=chars):
                 part = which[first:first + len(texts)]
                 ids, counts = e.encode(texts, part)
                 at = offsets(counts)
