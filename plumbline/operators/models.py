@@ -21,6 +21,7 @@ from pyspark.sql.functions import pandas_udf
 from plumbline.operators import evaluate, isotonic
 from plumbline.operators.engineer import EngineerState, ScalerState, apply_engineer, apply_scaler, fit_engineer, fit_scaler
 from plumbline.operators.ranking import null_safe_join
+from plumbline.session import written
 from plumbline.spec import PortfolioSpec
 
 
@@ -144,12 +145,18 @@ def fit_candidate(train: DataFrame, candidate: Candidate, spec: PortfolioSpec, y
     elif candidate.params.get("scale_pos_weight"):
         weight = F.when(F.col("_y") == 1, float(candidate.params["scale_pos_weight"])).otherwise(1.0)
     data = VectorAssembler(inputCols=engineer.output, outputCol="_x").transform(z).select("_x", F.col(y).cast("double").alias("_y"))
-    # Every iteration reads the same vectors; they are computed once and released after the fit.
-    data = data.withColumn("_w", weight).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = build_estimator(candidate.kind, candidate.params, n, seed).fit(data)
-    finally:
-        data.unpersist()
+    data = data.withColumn("_w", weight)
+    estimator = build_estimator(candidate.kind, candidate.params, n, seed)
+    if candidate.kind == "logistic":
+        # it reads the rows twice and keeps blocks of them for its iterations; vectors kept here as well would double that
+        model = estimator.fit(data)
+    else:
+        # Every iteration reads the same vectors; they are computed once and released after the fit.
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = estimator.fit(data)
+        finally:
+            data.unpersist()
     if candidate.kind == "forest":
         # the training summary holds the session, which cannot travel to tasks once a query was observed
         model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
@@ -173,6 +180,7 @@ def score_folds(
             train, held = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
         part = fit(train).score(held, "score", [*key, y]).withColumn("fold", F.lit(k))
         oof = part if oof is None else oof.unionByName(part)
+    oof = written(oof, "folds")  # metrics read the scores several times
     metrics = evaluate.classification_summary(oof, "score", y, 0.5, ["fold"]).select("fold", "pr_auc", "roc_auc")
     return metrics, oof
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import association, encode, engineer, evaluate, isotonic, models, split
 from plumbline.operators.smote import smote
-from plumbline.plans.book import BOOK_KEY, book, with_book
+from plumbline.plans.book import BOOK_KEY, book, stored_book, with_book
 from plumbline.plans.registry import query
 from plumbline.spec import PortfolioSpec
 
@@ -172,7 +172,7 @@ def importances(spark, d):
 @query("time_fold_scores", digits=4)
 def time_fold_scores(spark, d):
     """Expanding-origin folds, every transform refitted inside each fold; pooled out-of-fold metrics last."""
-    b = book(spark, d).select(*KEY, F.substring("month", 1, 4).alias("year"), "defaulted", *FEATURES)
+    b = stored_book(spark, d, *KEY, F.substring("month", 1, 4).alias("year"), "defaulted", *FEATURES)
     folded = split.time_folds(b, "year", 2)
     metrics, oof = models.score_folds(folded, [0, 1], lambda t: models.fit_candidate(t, LOGISTIC, BOOK_SPEC, "defaulted", FEATURES), "defaulted", KEY, role="role")
     pooled = evaluate.classification_summary(oof, "score", "defaulted", 0.5).select(F.lit(-1).alias("fold"), "pr_auc", "roc_auc")
