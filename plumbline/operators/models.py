@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import random
 import time
@@ -342,9 +343,13 @@ def metrics_table(
 ) -> DataFrame:
     """One row per declared model over a wide prediction table: point metrics at the flagged share, their
     intervals, and whether the model can be told from the reference. An optional model without a score
-    column is listed as pending; a required one is an error."""
+    column is listed as pending; a required one is an error.
+
+    The predictions are read many times, so they should be stored. Models come one after the other, and what one
+    shuffles is gone before the next. Where neither has gaps, a model and the reference are compared on the
+    replicates they already have."""
     from plumbline.operators.quantiles import exact_quantiles
-    from plumbline.operators.resampling import bootstrap_ci, paired_bootstrap
+    from plumbline.operators.resampling import bootstrap_replicates, interval, paired_bootstrap, paired_interval
 
     spark = preds.sparkSession
     have = [e["id"] for e in entries if e["id"] in preds.columns]
@@ -352,25 +357,28 @@ def metrics_table(
     if lacking:
         raise KeyError(f"predictions missing for {lacking}")
     cuts = exact_quantiles(preds, have, [1 - share])
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("id"), F.col(m).cast("double").alias("score"), F.lit(cuts[m][0]).alias("cut")) for m in have
-    ]))
-    long = preds.select(*key, y, cells.alias("_s")).select(*key, y, "_s.*")
-    point = evaluate.classification_summary(long, "score", y, F.col("cut"), ["id"])
+    def stacked(of: Callable[[DataFrame, str], DataFrame], kind: str) -> DataFrame:
+        rows = {m: preds.select(F.lit(m).alias("id"), *key, y, F.col(m).cast("double").alias("score")) for m in have}
+        return functools.reduce(DataFrame.unionByName, [written(of(rows[m], m), kind) for m in have])
+
+    point = stacked(lambda rows, m: evaluate.classification_summary(rows, "score", y, cuts[m][0], ["id"]), "points")
     listed = spark.createDataFrame(
         [(e["id"], e.get("label", e["id"]), "ok" if e["id"] in have else "pending", bool(e.get("probabilistic"))) for e in entries],
         "id string, label string, status string, probabilistic boolean",
     )
     out = listed.join(point, "id", "left").withColumn("brier", F.when(F.col("probabilistic"), F.col("brier"))).drop("probabilistic")
-    ci = bootstrap_ci(long, "score", y, key, ("pr_auc", "roc_auc", "gini", "f1"), replicates, seed, ["id"], share)
+    reps = stacked(lambda rows, m: bootstrap_replicates(rows, "score", y, key, replicates, seed, ["id"], share), "replicates")
+    ci = interval(reps, ("pr_auc", "roc_auc", "gini", "f1"), ["id"])
     wide = ci.groupBy("id").pivot("metric", ["pr_auc", "roc_auc", "gini", "f1"]).agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     out = out.join(wide, "id", "left")
     if reference:
         diffs = None
+        gaps = preds.agg(*[F.count_if(F.col(m).isNull()).alias(m) for m in have]).first()
         for m in have:
             if m != reference:
-                d = paired_bootstrap(preds, m, reference, y, key, ("pr_auc",), replicates, seed, share).select(
-                    F.lit(m).alias("id"), F.col("lo").alias("diff_lo"), F.col("hi").alias("diff_hi"))
+                whole = reference in have and not gaps[m] and not gaps[reference]
+                d = paired_interval(reps, "id", m, reference, ("pr_auc",)) if whole else written(paired_bootstrap(preds, m, reference, y, key, ("pr_auc",), replicates, seed, share), "pair")
+                d = d.select(F.lit(m).alias("id"), F.col("lo").alias("diff_lo"), F.col("hi").alias("diff_hi"))
                 diffs = d if diffs is None else diffs.unionByName(d)
         if diffs is not None:
             out = out.join(diffs, "id", "left").withColumn("distinguishable", ~((F.col("diff_lo") <= 0) & (F.col("diff_hi") >= 0)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline import loan
 from plumbline.functions.columns import vintage
 from plumbline.operators import evaluate, gate, models, ranking, resampling, scorecard
-from plumbline.plans.book import BOOK_KEY, book, raw_loans, table, with_book, with_loans
+from plumbline.plans.book import BOOK_KEY, book, raw_loans, stored_book, table, with_book, with_loans
 from plumbline.plans.registry import query
 
 KEY = list(BOOK_KEY)
@@ -308,12 +308,13 @@ def fold_verdict(spark, d):
 @query("metrics_table")
 def metrics_table(spark, d):
     entries = [{"id": "price"}, {"id": "quantity"}, {"id": "discount", "probabilistic": True}, {"id": "external", "optional": True}]
-    return models.metrics_table(book(spark, d), entries, "defaulted", KEY, 0.157, 100, 0, "quantity")
+    b = stored_book(spark, d, *KEY, "defaulted", "price", "quantity", "discount")
+    return models.metrics_table(b, entries, "defaulted", KEY, 0.157, 100, 0, "quantity")
 
 
 @query("promotion_gate")
 def promotion_gate(spark, d):
-    b = book(spark, d).withColumn("oracle", F.col("price") + F.col("defaulted") * 20_000)
+    b = stored_book(spark, d, *KEY, "defaulted", "price").withColumn("oracle", F.col("price") + F.col("defaulted") * 20_000)
     cut = evaluate.freeze_threshold(b, "oracle", 0.157)
     cand = gate.Entrant("oracle", ["price"], cut, 0.157)
     return gate.promotion_gate(b, cand, gate.Entrant("price", ["price"], None, 0.157), "defaulted", KEY, gate.GateSpec(replicates=100)).drop("position")

@@ -57,3 +57,56 @@ def test_fold_model_is_that_of_a_fit_on_its_rows(spark, tables):
     held = [(r.score, r.defaulted) for r in model.score(b.where("year = '1997'"), "score", [*fitted.KEY, "defaulted"]).collect()]
     got = {r.fold: r.roc_auc for r in fitted.time_fold_scores(spark, tables).collect()}
     assert got[1] == pytest.approx(brute_auc(*map(np.array, zip(*held))))
+
+
+def test_metrics_table_compares_on_the_replicates_it_has(spark, tables, monkeypatch):
+    b = book.book(spark, tables).select(*evaluation.KEY, "defaulted", "price", "quantity", F.when(F.col("quantity") > 5, F.col("price")).alias("partial")).cache()
+    want = {m: resampling.paired_bootstrap(b, m, "quantity", "defaulted", evaluation.KEY, ("pr_auc",), 20, 0, 0.2).first() for m in ("price", "partial")}
+    real, asked = resampling.paired_bootstrap, []
+    monkeypatch.setattr(resampling, "paired_bootstrap", lambda df, a, *rest: asked.append(a) or real(df, a, *rest))
+    table = models.metrics_table(b, [{"id": "price"}, {"id": "quantity"}, {"id": "partial"}], "defaulted", evaluation.KEY, 0.2, 20, 0, "quantity")
+    got = {r.id: r for r in table.collect()}
+    assert asked == ["partial"]
+    for m, w in want.items():
+        assert (got[m].diff_lo, got[m].diff_hi) == pytest.approx((w.lo, w.hi), abs=1e-12)
+    own = resampling.bootstrap_ci(b, "partial", "defaulted", evaluation.KEY, ("f1",), 20, 0, share=0.2).first()
+    assert (got["partial"].f1_lo, got["partial"].f1_hi) == pytest.approx((own.lo, own.hi))
+    b.unpersist()
+
+
+def test_metrics_table_joins_its_tables_once(spark, tables):
+    got = {r.id: r for r in _reads_no_table(evaluation.metrics_table(spark, tables))}
+    assert got["external"].status == "pending" and got["price"].pr_auc_lo < got["price"].pr_auc_hi
+
+
+def test_hot_scores_are_summed_where_they_are_read(frame, spark):
+    rng = np.random.default_rng(5)
+    df = frame([(i, float(v), int(y)) for i, (v, y) in enumerate(zip(rng.integers(0, 5, 300), rng.integers(0, 2, 300)))], "id int, s double, y int")
+    few = resampling.bootstrap_replicates(df, "s", "y", ["id"], 40, 1, share=0.3, hot_rows=10)
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" in plan and "_salt" not in plan
+    want = {r.rep: r.asDict() for r in resampling.bootstrap_replicates(df, "s", "y", ["id"], 40, 1, share=0.3).collect()}
+    got = {r.rep: r.asDict() for r in few.collect()}
+    assert set(got) == set(want) == set(range(41))
+    for k in want:
+        assert got[k] == pytest.approx(want[k])
+
+
+def test_counts_by_table_are_those_of_the_distribution():
+    keys = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 5000)
+    reps = np.arange(7)
+    x = keys.view(np.uint64)[:, None] ^ (reps.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64((9 * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & (2**64 - 1)))[None, :]
+    for shift, mult in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(mult)
+    u = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53
+    want = np.searchsorted(resampling._POISSON, u, side="right")
+    want[:, 0] = 1
+    assert (resampling.poisson_counts(keys, reps, 9) == want).all()
+    close = np.flatnonzero(resampling._COUNTS == 255)
+    assert 0 < len(close) < 18
+
+
+def test_a_row_without_a_label_is_refused(frame):
+    df = frame([(i, float(i), i % 2 if i else None) for i in range(40)], "id int, s double, y int")
+    with pytest.raises(Exception, match="label in every row"):
+        resampling.bootstrap_replicates(df, "s", "y", ["id"], 3, 0).collect()
