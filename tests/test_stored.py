@@ -79,6 +79,15 @@ def test_metrics_table_joins_its_tables_once(spark, tables):
     assert got["external"].status == "pending" and got["price"].pr_auc_lo < got["price"].pr_auc_hi
 
 
+def test_univariate_audit_joins_its_tables_once(spark, tables):
+    got = {r.column: r for r in _reads_no_table(statistics.univariate_audit(spark, tables))}
+    b = book.book(spark, tables).withColumn("year", F.substring("month", 1, 4))
+    for r in association.univariate_auc(b, statistics.NUMERIC, "defaulted", "year").collect():
+        mine = got[r.column]
+        assert mine.point == pytest.approx(r.auc) and mine.lo < mine.point < mine.hi
+        assert (mine.missing, mine.months, mine.months_same_sign, mine.direction) == (r.missing, r.months, r.months_same_sign, r.direction)
+
+
 def test_hot_scores_are_summed_where_they_are_read(frame, spark):
     rng = np.random.default_rng(5)
     df = frame([(i, float(v), int(y)) for i, (v, y) in enumerate(zip(rng.integers(0, 5, 300), rng.integers(0, 2, 300)))], "id int, s double, y int")
