@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import ranking
 from plumbline.operators.resampling import paired_bootstrap
+from plumbline.session import written
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,7 @@ def promotion_gate(df: DataFrame, candidate: Entrant, champion: Entrant, y: str,
     """(check, passed, value, detail) rows plus a final `decision` row: promote only when every check passed.
 
     Metadata checks come first; scores are read only when they hold, and compared only when none is missing: a gain over the rows that
-    happen to have a score would say nothing.
+    happen to have a score would say nothing. The table is read many times, so it should be stored.
     """
     spark = df.sparkSession
     schema = "position int, check string, passed boolean, value double, detail string"
@@ -72,14 +74,15 @@ def _score_checks(df: DataFrame, candidate: Entrant, champion: Entrant, y: str,
     )))
     if seen.bad:
         return base
-    cells = F.explode(F.array(F.struct(F.lit("a").alias("m"), a.alias("s")), F.struct(F.lit("b").alias("m"), b.alias("s"))))
-    long = df.select(y, cells.alias("_c")).select(y, "_c.m", "_c.s")
-    ap = ranking.average_precision(long, "s", y, ["m"])
+    # one model after the other: what the first shuffles is gone before the second begins
+    ap = functools.reduce(DataFrame.unionByName, [
+        written(ranking.average_precision(df.select(F.lit(m).alias("m"), y, s.alias("s")), "s", y, ["m"]), "gate") for m, s in (("a", a), ("b", b))
+    ])
     gain = ap.agg((F.max(F.when(F.col("m") == "a", F.col("pr_auc"))) - F.max(F.when(F.col("m") == "b", F.col("pr_auc")))).alias("g"))
     gained = gain.select(F.inline(F.array(
         _row(4, "pr_auc_gain", F.col("g") >= spec.min_pr_auc_gain, F.col("g"), f"average precision above the champion's, at least {spec.min_pr_auc_gain}")
     )))
-    ci = paired_bootstrap(df, candidate.score, champion.score, y, key, ("pr_auc",), spec.replicates, spec.seed, None, spec.confidence)
+    ci = written(paired_bootstrap(df, candidate.score, champion.score, y, key, ("pr_auc",), spec.replicates, spec.seed, None, spec.confidence), "gate")
     excl = ci.select(F.inline(F.array(
         _row(5, "bootstrap_excludes_zero", F.col("lo") > 0, F.col("lo"), f"lower end of the paired {spec.confidence:.0%} interval of that gain, above 0")
     )))

@@ -79,6 +79,11 @@ def test_metrics_table_joins_its_tables_once(spark, tables):
     assert got["external"].status == "pending" and got["price"].pr_auc_lo < got["price"].pr_auc_hi
 
 
+def test_promotion_gate_joins_its_tables_once(spark, tables):
+    got = {r.check: r for r in _reads_no_table(evaluation.promotion_gate(spark, tables))}
+    assert got["decision"].passed and got["bootstrap_excludes_zero"].value > 0
+
+
 def test_univariate_audit_joins_its_tables_once(spark, tables):
     got = {r.column: r for r in _reads_no_table(statistics.univariate_audit(spark, tables))}
     b = book.book(spark, tables).withColumn("year", F.substring("month", 1, 4))
