@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import finite
 from plumbline.operators.ranking import buckets_for
-from plumbline.session import written
+from plumbline.session import written_at
+from plumbline.sources import paths
+
+FEW_VALUES = 10_000  # ranks of so many values are joined without a copy of the rows
 
 
 def _partial_ranks(cells: DataFrame, classes: int) -> DataFrame:
@@ -36,34 +39,38 @@ def _partial_ranks(cells: DataFrame, classes: int) -> DataFrame:
 def spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, rho, n) for every pair of columns with a complete row, on the rows where both are known; rho is null for a constant.
 
-    Three shuffles whatever the number of columns: equal rows collapse to a multiplicity (written to the shared folder), all cells of
-    all columns look up their ranks in one join, and one more brings the cells of a row together again. A value's rank depends on
-    which rows its partner has; its counts per gapped partner give all of those ranks at once. Equal rows are one row from the first
-    aggregation on; a value that many different rows share is split by the skew join of adaptive execution.
+    Equal rows collapse to a multiplicity. Then the columns come one after the other: the ranks of a column's values are written, and
+    rows take theirs by value in place of it, in one shuffle of the rows or in none where the values are few. A value's rank depends
+    on which rows its partner has; its counts per gapped partner give all of those ranks at once. Only the last copy of the rows is
+    kept, so the disk holds two copies of them and one shuffle whatever the number of columns. A value that many different rows share
+    is split by the skew join of adaptive execution.
     """
     if len(cols) < 2:
         raise ValueError("a correlation needs two columns")
+    spark = df.sparkSession
     values = [f"v{i}" for i in range(len(cols))]
-    wide = df.select(*[(finite(c) + F.lit(0.0)).alias(v) for c, v in zip(cols, values)]).groupBy(*values).agg(F.count("*").alias("w"))
-    rows = written(wide, "spearman")
+    cells, source = written_at(df.select(*[(finite(c) + F.lit(0.0)).alias(v) for c, v in zip(cols, values)]), "cells")
+    rows, kept = written_at(cells.groupBy(*values).agg(F.count("*").alias("w")), "spearman")
+    paths.delete(spark, source)
     known = rows.agg(*[F.coalesce(F.sum(F.when(F.col(v).isNull(), F.col("w"))), F.lit(0)).alias(v) for v in values]).first()
     gapped = [i for i, v in enumerate(values) if known[v]]
     kind = {i: gapped.index(i) + 1 if i in gapped else 0 for i in range(len(cols))}
-    flags = F.array(F.lit(True), *[F.col(values[i]).isNotNull() for i in gapped])
-    listed = F.array(*[F.struct(F.lit(i).alias("column"), F.col(v).alias("value")) for i, v in enumerate(values)])
-
-    def cells(*extra: Column) -> DataFrame:
-        return rows.select(*extra, "w", F.explode(listed).alias("_c")).select("*", "_c.column", "_c.value").drop("_c").where("value is not null")
-
-    ranks = _partial_ranks(cells(flags.alias("known")), len(gapped) + 1)
-    # 128 bits name a row; an absent value, which a hash would skip, enters as NaN, which no known one is
-    filled = [F.coalesce(v, F.lit(float("nan"))) for v in values]
-    keyed = cells(F.xxhash64(*filled).alias("_h"), F.xxhash64(F.lit(7), *filled[::-1]).alias("_g"))
-    placed = keyed.join(ranks, ["column", "value"]).select("_h", "_g", "w", "column", "ranks").repartition("_h", "_g")
-    again = placed.groupBy("_h", "_g").agg(F.max("w").alias("w"), *[F.max(F.when(F.col("column") == i, F.col("ranks"))).alias(f"r{i}") for i in range(len(cols))])
+    have = list(values)  # what tells whether a row knows a column: its value, then its first rank
+    for i, v in enumerate(values):
+        flags = F.array(F.lit(True), *[F.col(have[j]).isNotNull() for j in gapped])
+        mine = rows.select(F.lit(i).alias("column"), F.col(v).alias("value"), "w", flags.alias("known")).where("value is not null")
+        names = [f"r{i}_{k}" for k in range(len(gapped) + 1)]
+        ranks, at = written_at(_partial_ranks(mine, len(names)).select("value", *[F.get("ranks", F.lit(k)).alias(n) for k, n in enumerate(names)]), "ranks")
+        rows = rows.join(ranks, F.col(v) == F.col("value"), "left").drop(v, "value")
+        have[i] = names[0]
+        if i + 1 < len(values) and ranks.count() > FEW_VALUES:
+            rows, new = written_at(rows, "spearman")
+            paths.delete(spark, kept)
+            paths.delete(spark, at)
+            kept = new
     pairs = list(combinations(range(len(cols)), 2))
-    points = F.array(*[F.struct(F.lit(p).alias("pair"), F.get(f"r{i}", F.lit(kind[j])).alias("x"), F.get(f"r{j}", F.lit(kind[i])).alias("y")) for p, (i, j) in enumerate(pairs)])
-    each = again.select("w", F.explode(points).alias("_p")).select("w", "_p.*").where("x is not null and y is not null")
+    points = F.array(*[F.struct(F.lit(p).alias("pair"), F.col(f"r{i}_{kind[j]}").alias("x"), F.col(f"r{j}_{kind[i]}").alias("y")) for p, (i, j) in enumerate(pairs)])
+    each = rows.select("w", F.explode(points).alias("_p")).select("w", "_p.*").where("x is not null and y is not null")
     w, x, y = F.col("w"), F.col("x"), F.col("y")
     g = each.groupBy("pair").agg(F.sum(w * x * y).alias("xy"), F.sum(w * x * x).alias("xx"), F.sum(w * y * y).alias("yy"), F.sum("w").alias("n"))
     names = F.array(*[F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b")) for i, j in pairs])

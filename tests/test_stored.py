@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import association, models, resampling
+from plumbline import session
+from plumbline.operators import association, models, rankcorr, resampling
 from plumbline.plans import book, evaluation, fitted, statistics
 from plumbline.session import SHUFFLE_CLEANUP, written
 from tests.test_ranking import brute_auc
@@ -124,3 +125,27 @@ def test_a_row_without_a_label_is_refused(frame):
     df = frame([(i, float(i), i % 2 if i else None) for i in range(40)], "id int, s double, y int")
     with pytest.raises(Exception, match="label in every row"):
         resampling.bootstrap_replicates(df, "s", "y", ["id"], 3, 0).collect()
+
+
+@pytest.mark.parametrize("few", [2, 1000])
+def test_rank_correlation_keeps_one_copy_of_its_rows(spark, frame, tmp_path, monkeypatch, few):
+    rng = np.random.default_rng(8)
+    a, b, c = rng.integers(0, 6, 200).astype(float), rng.normal(size=200), rng.integers(-2, 3, 200).astype(float)
+    a[:30], c[20:60] = np.nan, np.nan
+    b[60:] += a[60:]
+    df = frame([tuple(None if np.isnan(x) else float(x) for x in r) for r in zip(a, b, c)], "a double, b double, c double")
+    monkeypatch.setattr(rankcorr, "FEW_VALUES", few)
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda spark: str(tmp_path))
+    got = {(r.a, r.b): (r.rho, r.n) for r in rankcorr.spearman(df, ["a", "b", "c"]).collect()}
+    left = [p.name.split("-")[1] for p in tmp_path.iterdir()]
+    assert left.count("spearman") == 1 and "cells" not in left
+    rank = lambda x: np.array([(x < v).sum() + ((x == v).sum() + 1) / 2 for v in x])
+    for (i, x), (j, y) in (((n, u), (m, v)) for n, u in zip("abc", (a, b, c)) for m, v in zip("abc", (a, b, c)) if n < m):
+        both = ~np.isnan(x) & ~np.isnan(y)
+        assert got[i, j] == (pytest.approx(np.corrcoef(rank(x[both]), rank(y[both]))[0, 1]), both.sum())
+
+
+def test_redundant_pairs_reads_its_pairs_once(spark, tables):
+    for r in _reads_no_table(statistics.redundant_pairs(spark, tables)):
+        assert abs(r.rho) >= 0.5 and {r.keep, r.drop} == {r.a, r.b}
+    assert "spearman" not in statistics.redundant_pairs(spark, tables)._jdf.queryExecution().toString()
