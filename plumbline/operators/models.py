@@ -377,7 +377,7 @@ def metrics_table(
         for m in have:
             if m != reference:
                 whole = reference in have and not gaps[m] and not gaps[reference]
-                d = paired_interval(reps, "id", m, reference, ("pr_auc",)) if whole else written(paired_bootstrap(preds, m, reference, y, key, ("pr_auc",), replicates, seed, share), "pair")
+                d = paired_interval(reps, "id", m, reference, ("pr_auc",)) if whole else paired_bootstrap(preds, m, reference, y, key, ("pr_auc",), replicates, seed, share)
                 d = d.select(F.lit(m).alias("id"), F.col("lo").alias("diff_lo"), F.col("hi").alias("diff_hi"))
                 diffs = d if diffs is None else diffs.unionByName(d)
         if diffs is not None:

@@ -215,7 +215,8 @@ def bootstrap_points(spark, d):
 
 @query("paired_bootstrap")
 def paired_bootstrap(spark, d):
-    return resampling.paired_bootstrap(book(spark, d), "price", "quantity", "defaulted", KEY, ("pr_auc", "roc_auc"), 200)
+    b = stored_book(spark, d, *KEY, "defaulted", "price", "quantity")
+    return resampling.paired_bootstrap(b, "price", "quantity", "defaulted", KEY, ("pr_auc", "roc_auc"), 200)
 
 
 # --- result tables: every month is a fold, every segment a run ---
